@@ -14,6 +14,11 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.round(value.try_cast("decimal(28,6)"), digits).cast("double")
 
 
+def rounded(digits: int):
+    """Rounding to some decimals, as a function of the value."""
+    return lambda value: round_half_up(value, digits)
+
+
 def blank_to_null(text: Column) -> Column:
     """Trimmed text, or NULL when nothing is left."""
     return F.nullif(F.trim(text), F.lit(""))

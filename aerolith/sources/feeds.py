@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.functions.text import snapshot_id
+
 # Position of each field in an aircraft state array.
 STATE_INDEX = {
     "icao24": 0,
@@ -60,6 +62,10 @@ def _get(doc: Column, path: str, to: str) -> Column:
     return F.try_variant_get(doc, path, to)
 
 
+def _is_object(doc: Column, path: str) -> Column:
+    return F.coalesce(F.schema_of_variant(_get(doc, path, "variant")).startswith("OBJECT"), F.lit(False))
+
+
 def _number(doc: Column, path: str, to: str, default) -> Column:
     return F.coalesce(_get(doc, path, to), F.lit(default).cast(to))
 
@@ -122,7 +128,7 @@ def parse_quakes(messages: DataFrame, value: str = "value") -> DataFrame:
     rows = parsed(messages, value).select(
         F.explode(_get(F.col("_doc"), "$.features", "array<variant>")).alias("_f")
     )
-    shaped = _get(feature, "$.properties", "variant").isNotNull() & (
+    shaped = _is_object(feature, "$.properties") & (
         F.size(_get(feature, "$.geometry.coordinates", "array<variant>")) >= 3
     )
     rows = rows.filter(shaped)
@@ -153,10 +159,8 @@ def parse_weather(
     value: str = "value",
 ) -> DataFrame:
     """Flat weather readings; place and name come with the message, the clock is ``captured``."""
-    from aerolith.functions.text import snapshot_id
-
     doc = F.col("_doc")
-    rows = parsed(messages, value).filter(_get(doc, "$.current", "variant").isNotNull())
+    rows = parsed(messages, value).filter(_is_object(doc, "$.current"))
     for name in WHOLE_NUMBERS:
         rows = rows.filter(~_endless(doc, f"$.current.{WEATHER_FIELDS[name]}"))
     clock = captured.cast("bigint")
