@@ -94,10 +94,14 @@ def _substrings(text: Column, lengths: Sequence[int]) -> Column:
     parts = [F.array(F.lit(""))]
     for n in lengths:
         starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.substring(text, i, F.lit(n))))
+        parts.append(F.transform(starts, _cut(text, n)))
     return F.array_distinct(F.concat(*parts))
 
 
+def _cut(text: Column, n: int):
+    return lambda start: F.substring(text, start, F.lit(n))
+
+
 def contains_join(
     left: DataFrame, text: str, right: DataFrame, code: str, lengths: Sequence[int] = (1, 2, 3)
 ) -> DataFrame:
@@ -123,7 +127,7 @@ def contains_join(
     joined = texts.join(codes, "_anchor")
     pattern = F.concat(F.lit("%"), F.col(code), F.lit("%"))
     whole = F.col("_anchor") == F.col(code)
-    return joined.filter(whole | F.col(text).like(pattern)).drop("_anchor")
+    return joined.filter(whole | F.like(F.col(text), pattern)).drop("_anchor")
 
 
 def contains_counts(

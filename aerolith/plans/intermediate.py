@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import geo, rules
+from aerolith.functions.casting import round_half_up
 from aerolith.operators.joins import broadcast_if_small
 from aerolith.operators.keyed import first_per_key
 from aerolith.plans.staging import stamped
@@ -14,8 +15,8 @@ from aerolith.plans.staging import stamped
 def int_airport_grid(airports: DataFrame) -> DataFrame:
     """One airport per cell, the one nearest to the cell centre.
 
-    Distances are spherical; equal distances go to the lowest airport id. The
-    result is bounded by the number of cells on the globe.
+    Distances are spherical and compared to the millimetre; equal ones go to the
+    lowest airport id. The result is bounded by the number of cells on the globe.
     """
     cells = geo.with_cell(airports, "latitude", "longitude")
     half = geo.GRID_STEP / 2
@@ -23,7 +24,7 @@ def int_airport_grid(airports: DataFrame) -> DataFrame:
         F.col("latitude"), F.col("longitude"), F.col("grid_lat") + half, F.col("grid_lon") + half
     )
     nearest = first_per_key(
-        cells.withColumn("_km", from_centre),
+        cells.withColumn("_km", round_half_up(from_centre, 6)),
         ["grid_lat", "grid_lon"],
         [F.asc_nulls_last("_km"), F.asc("airport_id")],
     )

@@ -233,11 +233,14 @@ def region_trend(events: DataFrame, per_region: bool = False) -> DataFrame:
         F.count(F.lit(1)).alias("repeats")
     )
     if per_region:
-        figures = seismic_hourly(events, ("region",))
-        return own.join(figures.withColumnRenamed("region", "_r"), [
-            own["region"].eqNullSafe(F.col("_r")), own["hour"] == figures["hour"],
-            own["magnitude_class"] == figures["magnitude_class"],
-        ]).select("region", figures["hour"], figures["magnitude_class"], *_TREND[2:])
+        figures = seismic_hourly(events, ("region",)).alias("f")
+        own = own.alias("o")
+        same = (
+            F.col("o.region").eqNullSafe(F.col("f.region"))
+            & (F.col("o.hour") == F.col("f.hour"))
+            & (F.col("o.magnitude_class") == F.col("f.magnitude_class"))
+        )
+        return own.join(figures, same).select("o.region", "f.hour", "f.magnitude_class", *_TREND[2:])
     return own.join(seismic_hourly(events), ["hour", "magnitude_class"]).select("region", *_TREND)
 
 

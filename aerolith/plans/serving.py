@@ -178,7 +178,8 @@ def active_routes(
     """Routes whose airline code occurs in the callsign of an airborne flight.
 
     One row per pair of airports. ``active_flights`` counts (route, flight) pairs;
-    it is added up from counts per airline code, so the pairs are never built.
+    it is added up from counts per airline code, so the pairs are never built, and
+    routes are reduced to one row per pair and code before they are matched.
     Codes are compared as written unless ``normalize``.
     """
     flying = flights.filter(~F.col("on_ground")).select(F.upper("callsign").alias("_callsign"))
@@ -186,13 +187,16 @@ def active_routes(
     ends = ("origin_lat", "origin_lon", "destination_lat", "destination_lon")
     located = routes.dropna(subset=list(ends)).withColumn("_code", code)
     seen = contains_counts(flying, "_callsign", located.select("_code"), "_code")
-    matched = located.join(seen, "_code").filter(F.col("matches") > 0)
-
     shown = ("airline_code", "airline_name", "origin_airport_name", "destination_airport_name")
     places = ("origin_city", "origin_lat", "origin_lon", "destination_city", "destination_lat", "destination_lon")
     pick = F.struct(*[_null_last(c) for c in shown], *places, "distance_km", "route_type")
-    pairs = matched.groupBy("origin_code", "destination_code").agg(
-        F.min(pick).alias("_r"), F.sum("matches").alias("active_flights")
+    per_code = located.groupBy("origin_code", "destination_code", "_code").agg(
+        F.min(pick).alias("_r"), F.count(F.lit(1)).alias("_routes")
+    )
+    pairs = (
+        per_code.join(seen, "_code")
+        .groupBy("origin_code", "destination_code")
+        .agg(F.min("_r").alias("_r"), F.sum(F.col("_routes") * F.col("matches")).alias("active_flights"))
     )
     rows = pairs.select(
         "origin_code",

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from aerolith.functions import geo
 from aerolith.functions.casting import nan_to_null
 from aerolith.functions.text import region_of
-from aerolith.operators.windows import WINDOW, flatten_window, tumbling_agg, window_grid_join, windowed
+from aerolith.operators.joins import window_grid_join
+from aerolith.operators.windows import WINDOW, flatten_window, tumbling_agg, windowed
 
 # How long each feed waits for late rows.
 SEISMIC_DELAY = "30 seconds"
