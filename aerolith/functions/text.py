@@ -30,8 +30,27 @@ def region_of(place: Column, variant: str = "last_comma") -> Column:
     raise ValueError(f"variant must be one of {REGION_VARIANTS}")
 
 
+def one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded from the exact binary value, ties to even.
+
+    ``format_string`` rounds the shortest decimal form instead, which gives 0.3
+    for 0.25 and 0.2 for 0.15. Here the fraction is scaled by a power of two, so
+    nothing is lost before the tenth is decided.
+    """
+    bits = 59
+    size = F.abs(value)
+    whole = F.floor(size).cast("bigint")
+    scaled = ((size - whole) * float(2**bits)).cast("bigint") * 10
+    tenth, rest = F.shiftright(scaled, bits), scaled.bitwiseAND(2**bits - 1)
+    half = 2 ** (bits - 1)
+    up = (rest > half) | ((rest == half) & (tenth % 2 == 1))
+    tenths = whole * 10 + tenth + up.cast("bigint")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def snapshot_id(lat: Column, lon: Column, epoch_s: Column) -> Column:
     """Dedupe key: first 16 hex digits of md5 over place and 15-minute slot."""
     slot = F.floor(epoch_s / 900).cast("bigint")
-    key = F.concat_ws(":", F.format_string("%.1f", lat), F.format_string("%.1f", lon), slot.cast("string"))
+    key = F.concat_ws(":", one_decimal(lat), one_decimal(lon), slot.cast("string"))
     return F.substring(F.md5(key), 1, 16)

@@ -34,15 +34,12 @@ def read_reference(spark: SparkSession, table: str, path: str) -> DataFrame:
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("emptyValue", "")
         .option("columnNameOfCorruptRecord", bad)
         .option("columnPruning", "false")
         .csv(path)
     )
-    # A row is flagged for having too few or too many fields. The last declared
-    # column is only NULL when the row is short, as an empty field reads as ''.
-    last = F.col(schema.fields[-1].name)
-    rows = raw.filter(F.col(bad).isNull() | last.isNotNull() | (_field_count(F.col(bad)) >= len(schema.fields)))
+    # Rows of any other length are flagged; the longer ones are kept.
+    rows = raw.filter(F.col(bad).isNull() | (_field_count(F.col(bad)) >= len(schema.fields)))
     columns = []
     for f in schema.fields:
         text = F.when(~is_missing(F.col(f.name)), F.col(f.name))

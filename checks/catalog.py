@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from checks import q_tables, q_relational  # noqa: F401
-from checks.registry import ORACLES, QUERIES
+from checks import q_feeds, q_relational, q_serving, q_streams, q_tables  # noqa: F401
+from checks.registry import QUERIES, oracles
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["QUERIES", "oracles"]

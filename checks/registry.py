@@ -49,7 +49,10 @@ def plain_times(df: DataFrame) -> DataFrame:
 
 
 def query(name: str, sql: str | None = None):
-    """Register a function (spark, sf_dir) -> DataFrame, with its SQL if there is one."""
+    """Register a function (spark, sf_dir) -> DataFrame, with its SQL if there is one.
+
+    Views the SQL uses are added when all modules are loaded, see :func:`oracles`.
+    """
 
     def add(fn):
         @wraps(fn)
@@ -59,7 +62,12 @@ def query(name: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_ctes(sql)
+            ORACLES[name] = sql
         return fn
 
     return add
+
+
+def oracles() -> dict[str, str]:
+    """Reference SQL of every query that has one, complete with its views."""
+    return {name: with_ctes(sql) for name, sql in ORACLES.items()}
