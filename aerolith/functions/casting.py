@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NOISE_DIGITS = 6
+
+
 def round_half_up(value: Column, digits: int) -> Column:
-    """Decimal rounding, ties away from zero, returned as a double.
+    """Decimal rounding of a double, ties away from zero.
 
-    Going through a decimal avoids the binary tie errors of rounding a double.
+    Spark rounds the decimal form of a double. Rounding to six digits first takes
+    away the noise that the order of a sum leaves behind, so a tie stays a tie.
     """
-    return F.round(value.try_cast("decimal(28,6)"), digits).cast("double")
+    settled = F.round(value.cast("double"), NOISE_DIGITS)
+    return settled if digits >= NOISE_DIGITS else F.round(settled, digits)
 
 
 def rounded(digits: int):

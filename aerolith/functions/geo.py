@@ -50,11 +50,13 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.asin(F.sqrt(h)) * (2 * EARTH_RADIUS_KM)
 
 
-def continent_of_point(lat: Column, lon: Column) -> Column:
-    out = F.when(lat.isNull() | lon.isNull(), "unknown")
-    for name, south, north, west, east in CONTINENT_BOXES:
-        out = out.when(lat.between(south, north) & lon.between(west, east), name)
-    return out.otherwise("Other")
+def continent_of_point(lat: str, lon: str) -> Column:
+    """Continent of the point in two columns; the first matching box counts."""
+    cases = " ".join(
+        f"when {lat} between {south} and {north} and {lon} between {west} and {east} then '{name}'"
+        for name, south, north, west, east in CONTINENT_BOXES
+    )
+    return F.expr(f"case when {lat} is null or {lon} is null then 'unknown' {cases} else 'Other' end")
 
 
 def project_ahead(lat: Column, lon: Column, speed: Column, track: Column) -> tuple[Column, Column]:

@@ -112,8 +112,10 @@ def choose(value: Column, table: dict, otherwise) -> Column:
     return out.otherwise(otherwise)
 
 
-def weather_label(code: Column) -> Column:
-    return choose(code, WEATHER_LABELS, "Unknown")
+def weather_label(code: str) -> Column:
+    """Label of the WMO code in a column. One SQL text builds faster than 28 nested calls."""
+    cases = " ".join(f"when {number} then '{label}'" for number, label in WEATHER_LABELS.items())
+    return F.expr(f"case {code} {cases} else 'Unknown' end")
 
 
 def wind_severity(gust: Column) -> Column:
@@ -134,11 +136,13 @@ def flight_phase(on_ground: Column, altitude: Column) -> Column:
     return F.when(on_ground, "on_ground").when(altitude.isNull(), "unknown").otherwise(airborne)
 
 
-def country_continent(country: Column) -> Column:
-    out = F
-    for continent, names in CONTINENT_COUNTRIES.items():
-        out = out.when(country.isin(listed(names)), continent)
-    return out.otherwise("Other")
+def country_continent(country: str) -> Column:
+    """Continent of the country in a column."""
+    cases = " ".join(
+        f"when {country} in ({', '.join(repr(n) for n in listed(names))}) then '{continent}'"
+        for continent, names in CONTINENT_COUNTRIES.items()
+    )
+    return F.expr(f"case {cases} else 'Other' end")
 
 
 def non_negative(value: Column, digits: int, factor: float = 1) -> Column:

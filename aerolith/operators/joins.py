@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from aerolith.operators.keyed import first_per_key
+from aerolith.session import fresh_path
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 16
@@ -35,6 +36,17 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
     return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """A reduced side written to the shared folder and read back.
+
+    For sides that are costly to work out: they are computed once, and the
+    optimizer then broadcasts them or not by the size of their files.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def enrich(
     fact: DataFrame,
     dim: DataFrame,

@@ -13,7 +13,7 @@ from aerolith.functions import geo, rules
 from aerolith.functions.casting import coerce_numeric, round_half_up
 from aerolith.functions.codes import country_codes
 from aerolith.functions.text import region_of
-from aerolith.operators.joins import contains_counts
+from aerolith.operators.joins import contains_counts, settled
 from aerolith.operators.keyed import hashed_sample, latest_window, recent, top_k
 
 # Ring scales drawn around a quake.
@@ -178,25 +178,22 @@ def active_routes(
     """Routes whose airline code occurs in the callsign of an airborne flight.
 
     One row per pair of airports. ``active_flights`` counts (route, flight) pairs;
-    it is added up from counts per airline code, so the pairs are never built, and
-    routes are reduced to one row per pair and code before they are matched.
+    it is added up from the counts per airline code, so the pairs are never built.
+    Those counts are settled first, so that routes without a match drop out early.
     Codes are compared as written unless ``normalize``.
     """
     flying = flights.filter(~F.col("on_ground")).select(F.upper("callsign").alias("_callsign"))
     code = F.upper("airline_code") if normalize else F.col("airline_code")
     ends = ("origin_lat", "origin_lon", "destination_lat", "destination_lon")
     located = routes.dropna(subset=list(ends)).withColumn("_code", code)
-    seen = contains_counts(flying, "_callsign", located.select("_code"), "_code")
+    seen = settled(contains_counts(flying, "_callsign", located.select("_code"), "_code"), "code-matches")
+    matched = located.join(seen, "_code")
+
     shown = ("airline_code", "airline_name", "origin_airport_name", "destination_airport_name")
     places = ("origin_city", "origin_lat", "origin_lon", "destination_city", "destination_lat", "destination_lon")
     pick = F.struct(*[_null_last(c) for c in shown], *places, "distance_km", "route_type")
-    per_code = located.groupBy("origin_code", "destination_code", "_code").agg(
-        F.min(pick).alias("_r"), F.count(F.lit(1)).alias("_routes")
-    )
-    pairs = (
-        per_code.join(seen, "_code")
-        .groupBy("origin_code", "destination_code")
-        .agg(F.min("_r").alias("_r"), F.sum(F.col("_routes") * F.col("matches")).alias("active_flights"))
+    pairs = matched.groupBy("origin_code", "destination_code").agg(
+        F.min(pick).alias("_r"), F.sum("matches").alias("active_flights")
     )
     rows = pairs.select(
         "origin_code",

@@ -47,7 +47,7 @@ def stg_flights(flights: DataFrame, as_of: Column | None = None) -> DataFrame:
             "geog": geo.point(lon, lat),
             "baro_altitude_m": rules.non_negative(F.col("baro_altitude"), 1),
             "velocity_knots": rules.non_negative(F.col("velocity"), 1, rules.MS_TO_KNOTS),
-            "continent": geo.continent_of_point(lat, lon),
+            "continent": geo.continent_of_point("latitude", "longitude"),
             "grid_lat": cell_lat,
             "grid_lon": cell_lon,
         }
@@ -68,7 +68,7 @@ def stg_weather(weather: DataFrame, as_of: Column | None = None) -> DataFrame:
         {
             **rounded,
             "region_name": F.trim("region_name"),
-            "weather_label": rules.weather_label(F.col("weathercode")),
+            "weather_label": rules.weather_label("weathercode"),
             "wind_severity": rules.wind_severity(F.col("windgusts_ms")),
             "grid_lat": cell_lat,
             "grid_lon": cell_lon,
@@ -118,7 +118,7 @@ def stg_airports(airports: DataFrame, as_of: Column | None = None) -> DataFrame:
         round_half_up(F.col("altitude_ft") * rules.FEET_TO_M, 1).alias("altitude_m"),
         blank_to_null(F.col("tz_database")).alias("tz_database"),
         geo.point(lon, lat).alias("geog"),
-        rules.country_continent(F.col("country")).alias("continent"),
+        rules.country_continent("country").alias("continent"),
         "airport_type",
         *passed_on,
     )
@@ -166,7 +166,8 @@ def stg_routes(
     """Routes with their airline, both airports, distance and type.
 
     ``airlines`` and ``airports`` are staged. A code shared by several records
-    fans out and stays so.
+    fans out and stays so; the airlines, whose codes repeat most, come last, after
+    the distance has been worked out.
     """
     kept = routes.filter(F.col("src_airport").isNotNull() & F.col("dst_airport").isNotNull())
     if direct_only:
@@ -180,18 +181,10 @@ def stg_routes(
         "stops",
         F.col("equipment").alias("aircraft_codes"),
     )
-    carriers = lookup_union(airlines, ["iata_code", "icao_code"], "_airline")
-    out = enrich(
-        out,
-        carriers,
-        ["_airline"],
-        {"airline_name": "airline_name", "airline_country": "country", "airline_is_active": "is_active"},
-    ).drop("_airline")
     for end in ("origin", "destination"):
         code = f"{end}_code"
         places = lookup_union(airports, ["iata_code", "icao_code"], code)
         out = enrich(out, places, [code], {f"{end}_{name}": source for name, source in _END_COLUMNS.items()})
-
     km = geo.haversine_km(
         F.col("origin_lat"), F.col("origin_lon"), F.col("destination_lat"), F.col("destination_lon")
     )
@@ -202,4 +195,11 @@ def stg_routes(
             "route_type": F.when(same, "domestic/regional").otherwise("international"),
         }
     )
+    carriers = lookup_union(airlines, ["iata_code", "icao_code"], "_airline")
+    out = enrich(
+        out,
+        carriers,
+        ["_airline"],
+        {"airline_name": "airline_name", "airline_country": "country", "airline_is_active": "is_active"},
+    ).drop("_airline")
     return stamped(out, as_of=as_of)

@@ -9,11 +9,14 @@ from pyspark.sql import SparkSession
 
 # Runtime settings this library relies on. UTC keeps event times comparable
 # across machines; adaptive execution sizes shuffles and splits skewed joins.
+# The JVM does not compile methods above 8000 bytes of bytecode, so generated
+# code beyond that would be interpreted; such stages use per-operator code instead.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"

@@ -145,10 +145,6 @@ def shape(base: DataFrame, name: str) -> DataFrame:
     return base.sparkSession.sql(_BASE.sub(f"from {{{source}}}", sql.rstrip()), **{source: base})
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return shape(table(spark, sf_dir, base_table(name)), name)
-
-
-def as_of(spark: SparkSession, sf_dir: str) -> Column:
-    """The present: time of the newest event."""
-    return table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+def newest_time(events: DataFrame) -> Column:
+    """The present of the fixtures: time of the newest event."""
+    return events.agg(F.max("ts")).scalar()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from aerolith.plans import intermediate, staging
@@ -9,22 +11,40 @@ from aerolith.plans import windows as win
 from checks import fixtures
 
 
+def once(method):
+    """Keep what a method returned per argument; lazy DataFrames can be shared."""
+
+    @wraps(method)
+    def kept(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._kept:
+            self._kept[key] = method(self, *args)
+        return self._kept[key]
+
+    return kept
+
+
 class Tables:
     """Lazily built inputs of one run."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._kept: dict = {}
 
+    @once
     def raw(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)
 
+    @once
     def fx(self, name: str) -> DataFrame:
-        return fixtures.fixture(self.spark, self.sf_dir, f"fx_{name}")
+        name = f"fx_{name}"
+        return fixtures.shape(self.raw(fixtures.base_table(name)), name)
 
     @property
     def as_of(self) -> Column:
-        return fixtures.as_of(self.spark, self.sf_dir)
+        return fixtures.newest_time(self.raw("events"))
 
+    @once
     def staged(self, name: str) -> DataFrame:
         if name == "routes":
             out = staging.stg_routes(self.fx("routes"), self.staged("airlines"), self.staged("airports"))
@@ -32,20 +52,25 @@ class Tables:
             out = getattr(staging, f"stg_{name}")(self.fx(name))
         return out.drop("_loaded_at")
 
+    @once
     def airport_grid(self) -> DataFrame:
         return intermediate.int_airport_grid(self.staged("airports"))
 
+    @once
     def enriched(self) -> DataFrame:
         return intermediate.int_flights_enriched(
             self.staged("flights"), self.staged("airlines"), self.airport_grid()
         ).drop("_loaded_at")
 
+    @once
     def flight_windows(self, size: str = win.WINDOW) -> DataFrame:
         return win.flight_tumbling(self.fx("flights"), "time_position", size)
 
+    @once
     def seismic_windows(self, size: str = win.WINDOW) -> DataFrame:
         return win.seismic_tumbling(self.fx("seismics"), "event_time", size)
 
+    @once
     def weather_windows(self, size: str = win.WINDOW) -> DataFrame:
         return win.weather_tumbling(self.fx("weather_stream"), "snapshot_ts", size)
 
