@@ -20,6 +20,10 @@ def mode_of(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFr
     return counts.groupBy(*keys).agg(best["_v"].alias(name))
 
 
+# Names of the working columns of a profile.
+_ROWS, _FIELD, _VALUE = "_profile_rows", "_profile_field", "_profile_value"
+
+
 @dataclass(frozen=True)
 class Measure:
     """A mergeable measure: partial columns with their merge, and the final value."""
@@ -30,7 +34,7 @@ class Measure:
 
 
 def _single(name: str, value: Column, merge: Callable, finish: Callable) -> Measure:
-    part = f"_{name}"
+    part = f"_part_{name}"
     return Measure(name, {part: (value, merge)}, finish(merge(part)))
 
 
@@ -56,7 +60,7 @@ def lowest(name: str, value: Column, finish: Callable = _same) -> Measure:
 
 
 def averaged(name: str, value: Column, finish: Callable = _same) -> Measure:
-    total, n = f"_{name}_total", f"_{name}_n"
+    total, n = f"_part_{name}_total", f"_part_{name}_n"
     parts = {total: (F.sum(value), F.sum), n: (F.count(value), F.sum)}
     return Measure(name, parts, finish(F.sum(total) / F.nullif(F.sum(n), F.lit(0))))
 
@@ -81,29 +85,29 @@ def profile(
     parts = {name: spec for m in measures for name, spec in m.partial.items()}
 
     tuples = df.groupBy(*keys, *fields).agg(
-        F.count(F.lit(1)).alias("_rows"), *[value.alias(name) for name, (value, _) in parts.items()]
+        F.count(F.lit(1)).alias(_ROWS), *[value.alias(name) for name, (value, _) in parts.items()]
     )
 
     types = dict(tuples.dtypes)
     no_text = F.lit(None).cast("string")
-    carried = F.struct(no_text.alias("field"), no_text.alias("value"), *parts)
+    carried = F.struct(no_text.alias(_FIELD), no_text.alias(_VALUE), *parts)
     blank = [F.lit(None).cast(types[p]).alias(p) for p in parts]
     entries = [
-        F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), *blank) for f in fields
+        F.struct(F.lit(f).alias(_FIELD), F.col(f).cast("string").alias(_VALUE), *blank) for f in fields
     ]
-    long = tuples.select(*keys, "_rows", F.inline(F.array(carried, *entries))).filter(
-        F.col("field").isNull() | F.col("value").isNotNull()
+    long = tuples.select(*keys, _ROWS, F.inline(F.array(carried, *entries))).filter(
+        F.col(_FIELD).isNull() | F.col(_VALUE).isNotNull()
     )
-    merged = long.groupBy(*keys, "field", "value").agg(
-        F.sum("_rows").alias("_rows"), *[merge(name).alias(name) for name, (_, merge) in parts.items()]
+    merged = long.groupBy(*keys, _FIELD, _VALUE).agg(
+        F.sum(_ROWS).alias(_ROWS), *[merge(name).alias(name) for name, (_, merge) in parts.items()]
     )
 
     def winner(field: str) -> Column:
-        ranked = F.struct((-F.col("_rows")).alias("r"), F.col("value").alias("v"))
-        return F.min(F.when(F.col("field") == field, ranked))["v"]
+        ranked = F.struct((-F.col(_ROWS)).alias("r"), F.col(_VALUE).alias("v"))
+        return F.min(F.when(F.col(_FIELD) == field, ranked))["v"]
 
     return merged.groupBy(*keys).agg(
         *[m.final.alias(m.name) for m in measures],
         *[winner(f).alias(name) for name, f in modes.items()],
-        *[F.count_if(F.col("field") == f).alias(name) for name, f in distinct.items()],
+        *[F.count_if(F.col(_FIELD) == f).alias(name) for name, f in distinct.items()],
     )

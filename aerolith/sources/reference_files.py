@@ -38,8 +38,11 @@ def read_reference(spark: SparkSession, table: str, path: str) -> DataFrame:
         .option("columnPruning", "false")
         .csv(path)
     )
-    # Rows of any other length are flagged; the longer ones are kept.
-    rows = raw.filter(F.col(bad).isNull() | (_field_count(F.col(bad)) >= len(schema.fields)))
+    # Rows of any other length are flagged; the longer ones are kept. Spark refuses to
+    # read the flag alone, as a plain count would, so the rule also looks at a field.
+    never = F.octet_length(F.coalesce(F.col(schema.fields[0].name), F.lit(""))) < 0
+    long_enough = _field_count(F.col(bad)) >= len(schema.fields)
+    rows = raw.filter(F.when(F.col(bad).isNull(), True).when(long_enough, True).otherwise(never))
     columns = []
     for f in schema.fields:
         text = F.when(~is_missing(F.col(f.name)), F.col(f.name))

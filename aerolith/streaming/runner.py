@@ -21,24 +21,20 @@ def flush_options(feed: str) -> dict[str, str]:
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Partitions of the streaming state: the configured number, else one per core.
+    """Partitions of the streaming state: one per core of the cluster.
 
-    A query keeps this number for life, so it is not left to the default of 200.
+    A query keeps this number for life, so it is not left to the batch setting.
     """
-    conf = spark.sparkContext.getConf()
-    if conf.contains("spark.sql.shuffle.partitions"):
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
     return spark.sparkContext.defaultParallelism
 
 
 @contextmanager
-def stream_conf(spark: SparkSession, **extra: str):
+def stream_conf(spark: SparkSession, partitions: int | None = None):
     """Settings read by a streaming query when it starts, restored afterwards."""
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.multipleWatermarkPolicy": "min",
-        "spark.sql.shuffle.partitions": str(state_partitions(spark)),
-        **extra,
+        "spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)),
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
@@ -57,6 +53,7 @@ def start(
     sink: Callable[[DataFrame, int], None] | None = None,
     mode: str = "append",
     every: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query into a parquet folder or a ``foreachBatch`` sink.
 
@@ -64,7 +61,7 @@ def start(
     ends. The checkpoint lets a restarted query go on where it was.
     """
     spark = stream.sparkSession
-    with stream_conf(spark):
+    with stream_conf(spark, partitions):
         writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
         writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
         if sink is not None:
