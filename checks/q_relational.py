@@ -543,7 +543,7 @@ def region(t):
 
 @query(
     "f_math",
-    f"""select event_id, {rnd("log2(value)", 6)} as log_value, least(greatest(value, 10), 200) as clipped,
+    f"""select event_id, {rnd("log2(value + 1)", 6)} as log_value, least(greatest(value, 10), 200) as clipped,
           {rnd("sqrt(value) * sin(radians(event_id % 360))", 6)} as wave from events""",
 )
 @tables
@@ -551,7 +551,7 @@ def math(t):
     wave = F.sqrt("value") * F.sin(F.radians(F.col("event_id") % 360))
     return t.raw("events").select(
         "event_id",
-        round_half_up(F.log2("value"), 6).alias("log_value"),
+        round_half_up(F.log2(F.col("value") + 1), 6).alias("log_value"),
         rules.clip(F.col("value"), 10, 200).alias("clipped"),
         round_half_up(wave, 6).alias("wave"),
     )
