@@ -144,17 +144,17 @@ def flight_context(
 
     Every side is reduced to one row per cell before it joins. The sides leave their
     aggregation partitioned by cell, so the joins add no shuffle of their own; the
-    single-row mean is the only hinted broadcast.
+    mean over all cells is a scalar subquery.
     """
     newest = latest_window(context)
-    mean_flights = newest.agg(F.avg("flight_count").alias("_mean_flights"))
+    mean_flights = newest.agg(F.avg("flight_count")).scalar()
     cell = ["grid_lat", "grid_lon"]
     live = flights_by_grid(enriched).drop("live_flight_count")
     sky = weather_by_grid(weather).select(
         *cell, "wind_severity", "weather_label", "avg_precip_mm", F.col("avg_visibility_m").alias("_visibility")
     )
     quakes = quakes_by_grid(seismics, as_of).drop("avg_mag_24h")
-    joined = newest.filter(F.col("flight_count") > 0).crossJoin(F.broadcast(mean_flights))
+    joined = newest.filter(F.col("flight_count") > 0).withColumn("_mean_flights", mean_flights)
     for side in (live, sky, quakes):
         joined = joined.join(side, cell, "left")
     out = (

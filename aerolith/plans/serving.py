@@ -236,23 +236,28 @@ def kpis(
     """One row of key figures; missing figures are 0."""
     day = recent(seismics, "event_time", "24 hours", as_of)
     fresh = recent(context_mart, "window_end", "10 minutes", as_of)
-    parts = [
-        flights.filter(F.col("latitude").isNotNull()).agg(F.count(F.lit(1)).alias("flights")),
-        day.agg(F.count(F.lit(1)).alias("seismics_24h"), F.coalesce(F.max("mag"), F.lit(0.0)).alias("max_mag")),
-        weather.agg(F.coalesce(F.max("windgusts_ms"), F.lit(0.0)).alias("max_wind")),
-        fresh.agg(F.coalesce(F.max("risk_score"), F.lit(0.0)).alias("risk_score")),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.crossJoin(part)  # single rows
-    return out
+    located = flights.filter(F.col("latitude").isNotNull())
+
+    def top(df: DataFrame, column: str) -> Column:
+        return F.coalesce(df.agg(F.max(column)).scalar(), F.lit(0.0))
+
+    return located.agg(F.count(F.lit(1)).alias("flights")).withColumns(
+        {
+            "seismics_24h": day.agg(F.count(F.lit(1))).scalar(),
+            "max_mag": top(day, "mag"),
+            "max_wind": top(weather, "windgusts_ms"),
+            "risk_score": top(fresh, "risk_score"),
+        }
+    )
 
 
 def kpi_status(kpi_row: DataFrame, filtered_flights: DataFrame) -> DataFrame:
     """Status texts of the key figures and the airborne count of the filtered flights."""
-    shown = filtered_flights.agg(F.count(F.lit(1)).alias("shown_flights"), airborne().alias("airborne_now"))
+    shown = filtered_flights.agg(F.struct(F.count(F.lit(1)).alias("n"), airborne().alias("flying"))).scalar()
     risk = F.col("risk_score")
-    return kpi_row.crossJoin(shown).withColumns(
+    return kpi_row.withColumn("_shown", shown).select(
+        "*", F.col("_shown.n").alias("shown_flights"), F.col("_shown.flying").alias("airborne_now")
+    ).drop("_shown").withColumns(
         {
             "risk_status": F.when(risk > 60, "high").when(risk > 30, "elevated").otherwise("normal"),
             "wind_status": F.when(F.col("max_wind") > 25, "storm alert").otherwise("normal"),

@@ -31,6 +31,13 @@ def decode(messages: DataFrame, schema: StructType, keep: Sequence[str] = ()) ->
     return messages.select(body.alias("_m"), *keep).select("_m.*", *keep)
 
 
+def read_topic_json(
+    spark: SparkSession, topic: str, schema: StructType, servers: str, start: str = "earliest", **options
+) -> DataFrame:
+    """Typed records of a Kafka topic, with the broker ``timestamp`` as arrival time."""
+    return decode(read_topic(spark, topic, servers, start, **options), schema, keep=["timestamp"])
+
+
 def is_malformed(value: Column, schema: StructType, optional: Sequence[str] = ("last_seen",)) -> Column:
     """True when a message is no JSON object with exactly the declared fields."""
     names = [f.name for f in schema.fields]

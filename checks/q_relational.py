@@ -114,11 +114,10 @@ def region_window(t):
 )
 @tables
 def cross_one_row(t):
+    """A join with a single-row aggregate, written as a scalar subquery."""
     context = t.context()
-    mean = context.agg(F.avg("flight_count").alias("mean"))
-    return context.crossJoin(F.broadcast(mean)).select(
-        "window_start", "grid_lat", "grid_lon", (F.col("flight_count") / F.col("mean")).alias("ratio")
-    )
+    mean = context.agg(F.avg("flight_count")).scalar()
+    return context.select("window_start", "grid_lat", "grid_lon", (F.col("flight_count") / mean).alias("ratio"))
 
 
 @query(
