@@ -70,8 +70,8 @@ def add_columns(
     base = df.drop(*[n for n in names if n in df.columns and n != text_col])
     kept = [f for f in base.schema.fields if f.name not in names]
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept])
-    for name, kind in fields:
-        schema = schema.add(name, kind)
+    for f in T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields)).fields:
+        schema = schema.add(f)
     kept_names = [f.name for f in kept]
     kinds = [arrow_type(schema[n].dataType) for n in names]
 

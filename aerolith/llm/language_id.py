@@ -60,7 +60,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 8, step: int = 64, seed: int = 3) -> dict:
+def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 6, step: int = 64, seed: int = 3) -> dict:
     """Fit filters and softmax layer by Adam on windows x and label numbers y; classes weigh the same."""
     rng = np.random.default_rng(seed)
     n = len(labels)
@@ -162,8 +162,8 @@ def fit(
     learn: Column,
     text_col: str = "text",
     lang_col: str = "lang",
-    docs_per_language: int = 1500,
-    windows_per_doc: int = 3,
+    docs_per_language: int = 700,
+    windows_per_doc: int = 2,
     max_languages: int = 256,
 ) -> dict | None:
     """Train on a bounded sample: about `docs_per_language` documents of each of the `max_languages` most

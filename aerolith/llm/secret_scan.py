@@ -79,16 +79,32 @@ def random_strings(n: int, seed: int = 5) -> list[str]:
     return made
 
 
-def train(samples: list[tuple[str, bool]], least_ratio: float = 0.35) -> dict:
+def compounds(words: list[str], n: int, seed: int = 7) -> list[str]:
+    """Ordinary identifiers put together from words: camel case, snake case, dashes, paths, some with a number."""
+    rng = np.random.default_rng(seed)
+    words = [w for w in words if w.isalpha() and len(w) <= 16]
+    made = []
+    for i in range(n if words else 0):
+        parts = [words[k] for k in rng.integers(0, len(words), int(rng.integers(2, 6)))]
+        if i % 4 == 0:
+            parts = [parts[0].lower(), *[p.capitalize() for p in parts[1:]]]
+        tail = str(int(rng.integers(0, 10_000))) if i % 3 == 0 else ""
+        made.append(("", "_", "-", "/")[i % 4].join(parts) + tail)
+    return made
+
+
+def train(samples: list[tuple[str, bool]], missed: float = 0.01) -> dict:
     """Both models and the threshold from (string, is it random) samples.
 
-    The threshold is the largest ratio of a training identifier of twelve or
-    more characters, and `least_ratio` at least.
+    The threshold is passed by all but a share `missed` of the random training
+    strings of 20 or more characters, and by no training identifier of that length.
     """
     ratio = chain([s for s, random in samples if random]) - chain([s for s, random in samples if not random])
-    plain = [s for s, random in samples if not random and len(s) >= 12]
-    reached = float(ratios(plain, ratio).max()) if plain else least_ratio
-    return {"ratio": ratio, "threshold": max(least_ratio, reached)}
+    plain = [s for s, random in samples if not random and len(s) >= 20]
+    odd = [s for s, random in samples if random and len(s) >= 20]
+    passed = float(np.quantile(ratios(odd, ratio), missed)) if odd else 0.0
+    reached = float(ratios(plain, ratio).max()) if plain else 0.0
+    return {"ratio": ratio, "threshold": max(passed, reached, 0.0)}
 
 
 def ratios(strings: list[str], ratio: np.ndarray) -> np.ndarray:
@@ -127,8 +143,8 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 
 
 def identifier_samples(df: DataFrame, text_col: str = "text", docs: int = 2000, limit: int = 20000) -> list:
-    """Labelled samples: identifiers of about `docs` documents (0), values matched by a base pattern there and
-    seeded random strings (1). `limit` bounds each class; a sample is the same in every run."""
+    """Labelled samples: identifiers of about `docs` documents and compounds of them (not random), values matched
+    by a base pattern there and seeded strings (random). `limit` bounds them; they are the same in every run."""
     texts = df.select(F.col(text_col).alias("text"))
     sampled = hash_sample(texts, F.col("text"), docs, texts.count())
 
@@ -149,7 +165,9 @@ def identifier_samples(df: DataFrame, text_col: str = "text", docs: int = 2000,
     tagged = add_columns(sampled, "text", [("tagged", "array<string>")], make).select(F.explode("tagged").alias("t"))
     distinct = tagged.groupBy("t").count().orderBy(F.xxhash64("t"), "t").limit(limit)
     rows = sorted(r["t"] for r in distinct.collect())
-    return [(t[1:], t[0] == "1") for t in rows] + [(s, True) for s in random_strings(limit // 10)]
+    samples = [(t[1:], t[0] == "1") for t in rows]
+    ordinary = compounds([s for s, random in samples if not random], limit // 4)
+    return samples + [(s, False) for s in ordinary] + [(s, True) for s in random_strings(limit // 10)]
 
 
 def find_secrets(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
@@ -175,11 +193,11 @@ def digest(df: DataFrame) -> DataFrame:
     spans = F.col("secret_spans")
     line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter(spans, lambda s: s["kind"] != "markov")
-    counted = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return df.select(
         "doc_id",
-        *counted,
+        *[count(k) for k in KINDS],
         F.sha2(F.array_join(F.transform(base, line), ","), 256).alias("base_sha256"),
         F.array_join(F.transform(spans, line), ",").alias("spans"),
-        F.size(F.filter(spans, lambda s: s["kind"] == "markov")).cast("long").alias("n_markov"),
+        count("markov"),
     )
