@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import language_id, secret_scan, token_counts
+from aerolith.llm import language_id, secret_scan, simhash, token_counts, topk_search
 from aerolith.llm.common import learnable, remainder_is, table
 from aerolith.llm.registry import query
 
@@ -41,3 +41,29 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs, learnable("doc_id", 3, 1))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", remainder_is("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+OP4_SQL = """
+with v as (
+    select vec_id, min(q) as q from (
+        select vec_id, [floor(64 * x::double) for x in embedding] as q from embeddings
+        where vec_id is not null and embedding is not null
+          and len([x for x in embedding if x is null or not isfinite(x)]) = 0)
+    group by vec_id),
+scored as (
+    select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+ranked as (
+    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+@query("op4_topk_search", OP4_SQL)
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4))
