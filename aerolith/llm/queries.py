@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import language_id, secret_scan, simhash, token_counts, topk_search
+from aerolith.llm import (
+    decontamination,
+    language_id,
+    lm_score,
+    piece_codec,
+    secret_scan,
+    simhash,
+    token_counts,
+    topk_search,
+    toxicity,
+)
 from aerolith.llm.common import learnable, remainder_is, table
 from aerolith.llm.registry import query
 
@@ -67,3 +77,71 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4))
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = piece_codec.digests(docs, tokenizer_path(PIECES))
+    return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_differing")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"), learnable("doc_id", 4, 2))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_texts(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        remainder_is("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+OP9_SQL = """
+with doc_words as (
+    select doc_id, row_number() over () as rid,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents),
+item_words as (
+    select item_id, row_number() over () as iid,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark),
+items as (select *, least(5, len(w)) as size from item_words where len(w) > 0),
+sizes as (select distinct size from items),
+item_shingles as (
+    select distinct iid, item_id, size, array_to_string(w[i:i + size - 1], ' ') as s
+    from (select *, unnest(range(1, len(w) - size + 2)) as i from items)),
+doc_shingles as (
+    select distinct rid, doc_id, size, array_to_string(w[i:i + size - 1], ' ') as s
+    from (select *, unnest(range(1, len(w) - size + 2)) as i from doc_words, sizes)),
+totals as (select iid, count(*) as n_shingles from item_shingles group by iid),
+common as (
+    select rid, doc_id, iid, item_id, count(*) as n_shared
+    from doc_shingles join item_shingles using (size, s) group by rid, doc_id, iid, item_id)
+select doc_id, item_id, n_shingles, n_shared from common join totals using (iid) where n_shared >= 0.8 * n_shingles
+"""
+
+
+@query("op9_decontamination", OP9_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=0.8
+    )
+
+
+@query("op10_lm_scores")
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, words = lm_score.fit(docs.where(learnable("doc_id", 7, 2)))
+    scored = lm_score.score(docs, model, words)
+    return scored.select("doc_id", remainder_is("doc_id", 7, 2).alias("held_out"), *scored.columns[1:])
