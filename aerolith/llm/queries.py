@@ -9,6 +9,7 @@ from aerolith.llm import (
     decontamination,
     language_id,
     lm_score,
+    pii,
     piece_codec,
     secret_scan,
     simhash,
@@ -79,6 +80,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4))
 
 
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 PIECES = "piece_bpe_32k.model"
 
 
