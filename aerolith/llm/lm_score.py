@@ -41,7 +41,8 @@ ORDER = 4
 BEGIN, END = 0xFE, 0xFF  # bytes that no UTF-8 text has
 SHARE = 1 / (1 << 20)
 WORD_SHARE = 1 / (1 << 18)
-HELD = 500_000
+HELD = 250_000
+STEP = 2 << 20
 CACHE = 1 << 20
 
 
@@ -99,7 +100,7 @@ def counts(df: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFra
                 yield rows(None, codes[at : at + 100_000], n[at : at + 100_000])
 
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, STEP):
                 texts = texts_of(part, text_col)
                 for t in texts:
                     words.update(words_of(t))
@@ -244,7 +245,7 @@ def score(df: DataFrame, model: dict, words: DataFrame, id_col: str = "doc_id",
         names = ["rid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"]
         rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", STEP):
                 texts = texts_of(part, "text")
                 codes, lengths = grams(texts, m["order"])
                 byte_sums = np.add.reduceat(of_gram(codes), np.cumsum(lengths) - lengths)
