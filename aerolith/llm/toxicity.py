@@ -105,7 +105,7 @@ def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, feature, weight / norm[row]
 
 
-def kernel_to(units: list[str], landmarks: tuple, chunk: int = 20_000) -> np.ndarray:
+def kernel_to(units: list[str], landmarks: tuple, chunk: int = 4_000) -> np.ndarray:
     """Kernel of units with landmarks given as (row of each feature, matrix of features by landmarks)."""
     place, matrix = landmarks
     out = np.zeros((len(units), matrix.shape[1]))
@@ -211,21 +211,23 @@ def train(
     plain = np.array([number[u] for u in in_clean], dtype=np.int64)
     often = np.zeros(len(units))
     often[plain] = np.sqrt([in_clean[u] for u in in_clean])
-    z = (kernel_to(units, features) @ whiten).astype(np.float32)
     first = [number[u] for u in ranked if evidence[u] > least and odds[u] > 1] or [number[u] for u in ranked[:1]]
     times = np.zeros(len(units))
     times[first] = [in_toxic[units[k]] for k in first]
     witness = times.copy()
     hard = rng.choice(plain, min(len(plain), 4000), replace=False)
+    model = {}
     for _ in range(rounds):
         positive = np.flatnonzero(witness)
         negative = np.setdiff1d(hard, positive)
-        x = z[np.concatenate([positive, negative])].astype(np.float64)
+        x = kernel_to([units[k] for k in np.concatenate([positive, negative])], features) @ whiten
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         up, down = np.sqrt(witness[positive]), often[negative]
         share = np.concatenate([0.5 * up / up.sum(), 0.5 * down / max(1e-9, down.sum())])
         w, b = hinge_fit(x, y, share)
-        score = z @ w + b
+        place, matrix = features
+        model = {"weights": (matrix @ (whiten @ w))[place].astype(np.float32), "bias": b}
+        score = unit_scores(model, units)
         highest = plain[np.argsort(-score[plain], kind="stable")[:3000]]
         hard = np.unique(np.concatenate([hard, highest]))
         witness = times.copy()
@@ -233,9 +235,6 @@ def train(
             top = bag[score[bag].argmax()]
             if score[top] > 0 and odds[units[top]] > 1:
                 witness[top] += 1
-    alpha = whiten @ w
-    place, matrix = features
-    model = {"weights": (matrix @ alpha)[place].astype(np.float32), "bias": float(b)}
     texts = (held[0] + held[1]) or (fit[0] + fit[1])
     labels = np.array([1.0] * len(held[0]) + [0.0] * len(held[1])) if held[0] + held[1] else np.zeros(0)
     known: dict[str, float] = {}
@@ -246,7 +245,7 @@ def train(
     return model | {"slope": slope, "offset": offset}
 
 
-def unit_scores(model: dict, units: list[str], chunk: int = 20_000) -> np.ndarray:
+def unit_scores(model: dict, units: list[str], chunk: int = 4_000) -> np.ndarray:
     """Decision value of each unit."""
     out = np.full(len(units), model["bias"])
     for at in range(0, len(units), chunk):
@@ -294,7 +293,7 @@ def fit(
     text_col: str = "text",
     label_id: str = "doc_id",
     label_col: str = "toxic",
-    per_class: int = 1500,
+    per_class: int = 1200,
     max_chars: int = 20_000,
 ) -> dict:
     """Train on at most `per_class` labelled texts of each class, those of up to `max_chars` characters.
