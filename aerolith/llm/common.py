@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from aerolith.session import fresh_path
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,12 +26,13 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from aerolith.llm.common import add_columns
 
 MARK = "▁"
-KEPT = 150_000
+KEPT = 60_000
 SHORT = 24
 NEVER = 1 << 40
 
@@ -53,6 +54,7 @@ class Codec:
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.bos, self.eos = sp.bos_id(), sp.eos_id()
+        self.begin, self.end = (np.array([i], dtype="<u4").tobytes() for i in (self.bos, self.eos))
         self.chunk = self.boundaries()
         self.known: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
@@ -198,14 +200,17 @@ def encoded(df: DataFrame, path: str, text_col: str = "text", with_text: bool =
         codec = Codec(path)
 
         def compute(texts):
-            ids, counts, differing, decoded = [], [], [], []
+            raw, counts, differing, decoded = [], [], [], []
             at_start = codec.differing
             for chunks in codec.encode_batch(texts):
-                inner = b"".join([codec.known[c][0] for c in chunks])
-                ids.append([codec.bos, *np.frombuffer(inner, "<u4").tolist(), codec.eos])
-                counts.append(len(ids[-1]))
+                found = [codec.known[c] for c in chunks]
+                raw.append(b"".join([codec.begin, *[f[0] for f in found], codec.end]))
+                counts.append(len(raw[-1]) // 4)
                 differing.append(codec.differing - at_start)
-                decoded.append("".join([codec.known[c][1] for c in chunks])[1:])
+                if with_text:
+                    decoded.append("".join([f[1] for f in found])[1:])
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(raw), "<i4"))
             return [ids, counts, differing, decoded][: 4 if with_text else 3]
 
         return compute
@@ -219,14 +224,13 @@ def digests(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
     def make():
         codec = Codec(path)
-        begin, end = (np.array([i], dtype="<u4").tobytes() for i in (codec.bos, codec.eos))
 
         def compute(texts):
             counts, ids, decoded, differing = [], [], [], []
             at_start = codec.differing
             for chunks in codec.encode_batch(texts):
                 found = [codec.known[c] for c in chunks]
-                raw = b"".join([begin, *[f[0] for f in found], end])
+                raw = b"".join([codec.begin, *[f[0] for f in found], codec.end])
                 counts.append(len(raw) // 4)
                 ids.append(hashlib.sha256(raw).hexdigest())
                 decoded.append(hashlib.sha256("".join([f[1] for f in found])[1:].encode("utf-8")).hexdigest())
