@@ -19,6 +19,11 @@ def round_half_up(value: Column, digits: int) -> Column:
     return settled if digits >= NOISE_DIGITS else F.round(settled, digits)
 
 
+def round_once(value: Column, digits: int) -> Column:
+    """Decimal rounding of a single value, ties away from zero, in one step."""
+    return F.round(value.cast("double"), digits)
+
+
 def rounded(digits: int):
     """Rounding to some decimals, as a function of the value."""
     return lambda value: round_half_up(value, digits)

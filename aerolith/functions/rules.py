@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.casting import round_half_up
+from aerolith.functions.casting import round_once
 
 MS_TO_KNOTS = 1.94384
 FEET_TO_M = 0.3048
@@ -147,7 +147,7 @@ def country_continent(country: str) -> Column:
 
 def non_negative(value: Column, digits: int, factor: float = 1) -> Column:
     """Rounded value in another unit; negative readings are missing."""
-    return F.when(value >= 0, round_half_up(value * factor if factor != 1 else value, digits))
+    return F.when(value >= 0, round_once(value * factor if factor != 1 else value, digits))
 
 
 def seismic_risk_level(max_mag: Column, tsunamis: Column, events: Column) -> Column:

@@ -100,13 +100,13 @@ def window_grid_join(
     return out
 
 
-def _substrings(text: Column, lengths: Sequence[int]) -> Column:
-    """Distinct substrings of the given lengths, plus '' as the anchor of bare wildcards."""
-    size = F.length(text)
-    parts = [F.array(F.lit(""))]
+def _substrings(text: Column, lengths: Sequence[int], needed: Column) -> Column:
+    """Distinct substrings of those lengths that some code needs; '' is the anchor of bare wildcards."""
+    size, none = F.length(text), F.array().cast("array<string>")
+    parts = [F.when(F.array_contains(needed, 0), F.array(F.lit(""))).otherwise(none)]
     for n in lengths:
         starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, _cut(text, n)))
+        parts.append(F.when(F.array_contains(needed, n), F.transform(starts, _cut(text, n))).otherwise(none))
     return F.array_distinct(F.concat(*parts))
 
 
@@ -122,7 +122,9 @@ def contains_join(
     Each code gets an anchor: the start of its longest run without wildcards, cut
     to the longest of ``lengths``. Each text offers its substrings of those
     lengths, the pairs meet on the anchor, and LIKE settles the rest. Exact for
-    any code, with or without wildcards; plain short codes need no second test.
+    any code, with or without wildcards; plain short codes need no second test. A
+    backslash in a code stands for itself. Only anchor lengths that occur among
+    the codes are offered.
     """
     longest = max(lengths)
     runs = F.split(F.col(code), r"[%_\\]+")
@@ -133,11 +135,13 @@ def contains_join(
         fitting = [F.when(F.length(anchor) >= n, F.substring(anchor, 1, n)) for n in sorted(lengths, reverse=True)]
         anchor = F.coalesce(*fitting, F.lit(""))
     codes = right.filter(F.col(code).isNotNull()).withColumn("_anchor", anchor)
+    needed = codes.agg(F.collect_set(F.length("_anchor"))).scalar()
     texts = left.filter(F.col(text).isNotNull()).withColumn(
-        "_anchor", F.explode(_substrings(F.col(text), lengths))
+        "_anchor", F.explode(_substrings(F.col(text), lengths, needed))
     )
     joined = texts.join(codes, "_anchor")
-    pattern = F.concat(F.lit("%"), F.col(code), F.lit("%"))
+    plain = F.replace(F.col(code), F.lit("\\"), F.lit("\\\\"))
+    pattern = F.concat(F.lit("%"), plain, F.lit("%"))
     whole = F.col("_anchor") == F.col(code)
     return joined.filter(whole | F.like(F.col(text), pattern)).drop("_anchor")
 

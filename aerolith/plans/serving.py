@@ -1,6 +1,6 @@
 """Queries behind the dashboard, as DataFrames.
 
-Limits are the display limits of each view; ``limit=None`` returns every row.
+A view returns every row unless it is given its display ``limit``.
 ``as_of`` stands for the current time and is a column (a literal or a scalar query).
 """
 
@@ -28,7 +28,7 @@ def airborne() -> Column:
 # --- live map ---------------------------------------------------------------------------
 
 
-def flights_map(flights: DataFrame, enriched: DataFrame, limit: int | None = 15000) -> DataFrame:
+def flights_map(flights: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
     """Located flights with phase, nearest airport and airline; gaps filled for drawing."""
     extra = enriched.select("icao24", "flight_phase", "nearest_airport_name", "airline_name")
     located = flights.filter(geo.on_globe(F.col("latitude"), F.col("longitude")))
@@ -50,7 +50,7 @@ def flights_map(flights: DataFrame, enriched: DataFrame, limit: int | None = 150
     return rows if limit is None else top_k(rows, [F.asc("icao24")], limit)
 
 
-def seismics_map(seismics: DataFrame, as_of: Column, limit: int | None = 500) -> DataFrame:
+def seismics_map(seismics: DataFrame, as_of: Column, limit: int | None = None) -> DataFrame:
     """Newest quakes of the last 24 hours with class and drawing radius."""
     rows = (
         recent(seismics, "event_time", "24 hours", as_of)
@@ -66,7 +66,7 @@ def seismics_map(seismics: DataFrame, as_of: Column, limit: int | None = 500) ->
     return rows if limit is None else top_k(rows, [F.desc("event_time"), F.desc("id")], limit)
 
 
-def weather_map(weather: DataFrame, limit: int | None = 2000) -> DataFrame:
+def weather_map(weather: DataFrame, limit: int | None = None) -> DataFrame:
     """Weather points with wind and visibility weights between 0 and 1."""
     placed = weather.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     rows = placed.select(
@@ -173,7 +173,7 @@ def airports_map(airports: DataFrame) -> DataFrame:
 
 
 def active_routes(
-    routes: DataFrame, flights: DataFrame, limit: int | None = 300, normalize: bool = False
+    routes: DataFrame, flights: DataFrame, limit: int | None = None, normalize: bool = False
 ) -> DataFrame:
     """Routes whose airline code occurs in the callsign of an airborne flight.
 
@@ -219,7 +219,7 @@ def _null_last(column: str) -> Column:
     return F.struct(value.isNull().alias("missing"), value.alias("v")).alias(column)
 
 
-def risk_grid(context_mart: DataFrame, limit: int | None = 500) -> DataFrame:
+def risk_grid(context_mart: DataFrame, limit: int | None = None) -> DataFrame:
     rows = latest_window(context_mart).filter(F.col("risk_score") > 0).select(
         "grid_lat", "grid_lon", "risk_score", "flight_count",
         F.col("primary_airport_city").alias("city"), "continent", "wind_severity", "max_mag_24h",
@@ -310,7 +310,7 @@ def continent_breakdown(enriched: DataFrame) -> DataFrame:
     )
 
 
-def top_countries(flights: DataFrame, limit: int | None = 25) -> DataFrame:
+def top_countries(flights: DataFrame, limit: int | None = None) -> DataFrame:
     rows = (
         flights.filter(F.col("origin_country").isNotNull())
         .groupBy("origin_country")
@@ -324,7 +324,7 @@ def top_countries(flights: DataFrame, limit: int | None = 25) -> DataFrame:
     return top_k(rows, [F.desc("total_flights"), F.asc("origin_country")], limit)
 
 
-def top_airlines(flights: DataFrame, enriched: DataFrame, limit: int | None = 20) -> DataFrame:
+def top_airlines(flights: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
     located = flights.filter(F.col("latitude").isNotNull())
     rows = (
         located.join(enriched.select("icao24", "airline_name"), "icao24", "left")
@@ -338,7 +338,7 @@ def top_airlines(flights: DataFrame, enriched: DataFrame, limit: int | None = 20
     return top_k(rows, [F.desc("flights"), F.asc("airline")], limit)
 
 
-def top_airports(flights: DataFrame, enriched: DataFrame, limit: int | None = 20) -> DataFrame:
+def top_airports(flights: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
     located = flights.filter(F.col("latitude").isNotNull()).select("icao24")
     near = enriched.filter(F.col("nearest_airport_name").isNotNull())
     name, iata, city = "nearest_airport_name", "nearest_airport_iata", "nearest_airport_city"
@@ -357,7 +357,7 @@ def top_airports(flights: DataFrame, enriched: DataFrame, limit: int | None = 20
     return top_k(rows, [F.desc("nearby_flights"), F.asc("airport"), F.asc("iata"), F.asc("city")], limit)
 
 
-def seismic_by_region(seismics: DataFrame, as_of: Column, limit: int | None = 25) -> DataFrame:
+def seismic_by_region(seismics: DataFrame, as_of: Column, limit: int | None = None) -> DataFrame:
     rows = (
         recent(seismics, "event_time", "24 hours", as_of)
         .groupBy(region_of(F.col("place"), "greedy").alias("region"))
@@ -381,7 +381,7 @@ def phase_breakdown(flights: DataFrame, enriched: DataFrame) -> DataFrame:
     )
 
 
-def country_counts(flights: DataFrame, limit: int | None = 100) -> DataFrame:
+def country_counts(flights: DataFrame, limit: int | None = None) -> DataFrame:
     rows = (
         flights.filter(F.col("origin_country").isNotNull())
         .groupBy("origin_country")

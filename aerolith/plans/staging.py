@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import geo, rules
-from aerolith.functions.casting import blank_to_null, round_half_up
+from aerolith.functions.casting import blank_to_null, round_once
 from aerolith.functions.text import region_of
 from aerolith.operators.joins import enrich, lookup_union
 
@@ -60,7 +60,7 @@ def stg_weather(weather: DataFrame, as_of: Column | None = None) -> DataFrame:
     cell_lat, cell_lon = geo.grid_cell(F.col("latitude"), F.col("longitude"))
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     rounded = {
-        name: round_half_up(F.col(name), digits)
+        name: round_once(F.col(name), digits)
         for name, digits in WEATHER_DIGITS.items()
         if name in weather.columns
     }
@@ -90,8 +90,8 @@ def stg_seismics(seismics: DataFrame, as_of: Column | None = None) -> DataFrame:
                 "is_tsunami_related": F.col("tsunami").cast("boolean"),
                 "grid_lat": cell_lat,
                 "grid_lon": cell_lon,
-                "depth_km": round_half_up(F.col("depth"), 2),
-                "mag": round_half_up(F.col("mag"), 2),
+                "depth_km": round_once(F.col("depth"), 2),
+                "mag": round_once(F.col("mag"), 2),
                 "mag_type": F.upper(F.trim("mag_type")),
                 "place": F.trim("place"),
             }
@@ -112,10 +112,10 @@ def stg_airports(airports: DataFrame, as_of: Column | None = None) -> DataFrame:
         F.trim("country").alias("country"),
         blank_to_null(F.col("iata")).alias("iata_code"),
         blank_to_null(F.col("icao")).alias("icao_code"),
-        round_half_up(lat, 6).alias("latitude"),
-        round_half_up(lon, 6).alias("longitude"),
+        round_once(lat, 6).alias("latitude"),
+        round_once(lon, 6).alias("longitude"),
         "altitude_ft",
-        round_half_up(F.col("altitude_ft") * rules.FEET_TO_M, 1).alias("altitude_m"),
+        round_once(F.col("altitude_ft") * rules.FEET_TO_M, 1).alias("altitude_m"),
         blank_to_null(F.col("tz_database")).alias("tz_database"),
         geo.point(lon, lat).alias("geog"),
         rules.country_continent("country").alias("continent"),
@@ -191,7 +191,7 @@ def stg_routes(
     same = F.col("origin_continent") == F.col("destination_continent")
     out = out.withColumns(
         {
-            "distance_km": round_half_up(km, 1),
+            "distance_km": round_once(km, 1),
             "route_type": F.when(same, "domestic/regional").otherwise("international"),
         }
     )

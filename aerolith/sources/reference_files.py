@@ -80,7 +80,8 @@ def load_once_path(spark: SparkSession, path: str, load) -> DataFrame:
         saved = spark.read.parquet(path)
         if not saved.isEmpty():
             return saved
-    except AnalysisException:
-        pass
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or an empty one
+            raise
     load().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

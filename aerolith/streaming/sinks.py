@@ -4,11 +4,12 @@ A keyed table is a folder with one sub-folder per micro-batch, each holding the
 newest row per key of that batch. A batch replaces only its own sub-folder, so
 running it again after a failure changes nothing, and its cost follows the batch
 and not the table. Readers take the newest row per key; ``compact`` folds the
-batches into a plain table.
+batches into one and removes them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.keyed import first_per_key
 
-BATCH = "batch_id"
+BATCH, RUN = "batch_id", "run"
 
 
 def upsert_sink(path: str, keys: Sequence[str], order: Sequence[Column]) -> Callable[[DataFrame, int], None]:
@@ -25,7 +26,7 @@ def upsert_sink(path: str, keys: Sequence[str], order: Sequence[Column]) -> Call
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = first_per_key(batch, keys, order)
-        newest.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        newest.write.mode("overwrite").parquet(batch_path(path, batch, batch_id))
 
     return write
 
@@ -39,36 +40,69 @@ def append_sink(path: str, name: str = "id") -> Callable[[DataFrame, int], None]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(name, F.xxhash64(*batch.columns))
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").parquet(batch_path(path, batch, batch_id))
 
     return write
 
 
+def batch_path(path: str, batch: DataFrame, batch_id: int) -> str:
+    """Folder of a micro-batch: that of its query, which a new checkpoint does not share, then its number."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"{path}/{RUN}={query}/{BATCH}={batch_id}"
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of all batches, with their batch number."""
+    """All rows of all batches, with their query and batch number."""
     return spark.read.option("basePath", path).parquet(path)
 
 
-def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current state of a keyed table: the row of the newest batch per key."""
-    return first_per_key(read_batches(spark, path), keys, [F.desc(BATCH)]).drop(BATCH)
+def newest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The newest row per key by the order of the records; the batch only settles what they leave open."""
+    return first_per_key(rows, keys, [*order, F.desc(BATCH), F.desc(RUN)]).drop(BATCH, RUN)
+
+
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Current state of a keyed table: the newest row per key by ``order``, as in the sink.
+
+    Without an order the row of the newest batch counts, which suits tables
+    whose later batches correct earlier ones.
+    """
+    return newest_rows(read_batches(spark, path), keys, order)
 
 
-def read_snapshot(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str) -> DataFrame:
-    """Current state restricted to the newest snapshot.
+def read_snapshot(
+    spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, order: Sequence[Column] = ()
+) -> DataFrame:
+    """State of the newest snapshot, which is found before the newest row per key.
 
     The snapshot is named by a column of the records, so one that is spread over
-    several batches stays whole.
+    several batches stays whole, and a record that comes late takes nothing away.
     """
-    state = read_keyed(spark, path, keys)
-    newest = read_batches(spark, path).agg(F.max(snapshot)).scalar()
-    return state.filter(F.col(snapshot) == newest)
+    rows = read_batches(spark, path)
+    newest = rows.agg(F.max(snapshot)).scalar()
+    return newest_rows(rows.filter(F.col(snapshot) == newest), keys, order)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> DataFrame:
-    """Current state written as a plain table."""
-    read_keyed(spark, path, keys).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Replace the batches written so far by one that holds the current state.
+
+    Batches that a query adds meanwhile are left alone. The fold is written
+    before the folded batches go, so a reader finds every key at any time; a
+    fold keeps the largest batch number of what it replaces.
+    """
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(context._jsc.hadoopConfiguration())
+    found = files.globStatus(hadoop(f"{path}/{RUN}=*/{BATCH}=*/_SUCCESS"))
+    folders = [str(f.getPath().getParent().toString()) for f in found]
+    if len(folders) > 1:
+        rows = spark.read.option("basePath", path).parquet(*folders)
+        last = max(int(f.rsplit("=", 1)[1]) for f in folders)
+        fold = f"{path}/{RUN}=fold-{uuid.uuid4().hex[:12]}/{BATCH}={last}"
+        newest_rows(rows, keys, order).write.parquet(fold)
+        for folder in folders:
+            files.delete(hadoop(folder), True)
+    return read_keyed(spark, path, keys, order)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -85,5 +119,7 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """Parquet folder, or an empty table when nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 FIXTURES = {
     "fx_flights": """
-select 'a' || lpad(cast(event_id as string), 12, '0') as icao24,
+select 'a' || lpad(cast(event_id as string), cast(greatest(12, length(cast(event_id as string))) as int), '0') as icao24,
   case when event_id % 11 = 0 then '  '
        else chr(cast(65 + event_id % 5 as int)) || chr(cast(65 + user_id % 5 as int)) || cast(user_id as string) end as callsign,
   case when event_id % 97 = 0 then null else 'NATION_' || cast(user_id % 25 as string) end as origin_country,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerolith.plans import intermediate, staging
 from aerolith.plans import windows as win
@@ -42,7 +43,13 @@ class Tables:
 
     @property
     def as_of(self) -> Column:
-        return fixtures.newest_time(self.raw("events"))
+        return self.newest()
+
+    @once
+    def newest(self) -> Column:
+        """The newest event time, fixed as a literal, so that filters on it reach the scans."""
+        value = self.raw("events").agg(F.max("ts").cast("string")).first()[0]
+        return F.lit(value).cast("timestamp")
 
     @once
     def staged(self, name: str) -> DataFrame:

@@ -101,7 +101,7 @@ def drop_malformed(t):
     line = (
         F.when(last == "0", F.left(whole, F.lit(40)))
         .when(last == "5", lacking)
-        .when(last == "7", F.concat(F.lit('{"more":1,'), F.substring(whole, 2, 10000)))
+        .when(last == "7", F.concat(F.lit('{"more":1,'), F.substring(whole, F.lit(2), F.length(whole))))
         .otherwise(whole)
     )
     messages = t.spark.read.text(written(flight_records(t).select(line.alias("value")), "topic"))
@@ -119,7 +119,7 @@ def grouped_messages(rows: DataFrame, number, item, envelope) -> DataFrame:
 
 def state_messages(t) -> DataFrame:
     """Snapshots of positional state arrays, two minutes after the hour of the newest position."""
-    number = F.substring("icao24", 2, 20).cast("bigint")
+    number = F.substring("icao24", F.lit(2), F.length("icao24")).cast("bigint")
     fields = {
         "icao24": F.when(number % 31 != 0, F.col("icao24")),
         "callsign": F.col("callsign"),
@@ -468,7 +468,7 @@ def upsert_stream(t):
     table = fresh_path(t.spark, "flights")
     sink = sinks.upsert_sink(table, ["track_id"], newest())
     Replay(t).run("fx_flights", lambda s: s.select(*_TRACK), sink=sink)
-    return sinks.read_keyed(t.spark, table, ["track_id"]).select(*_TRACK)
+    return sinks.read_keyed(t.spark, table, ["track_id"], newest()).select(*_TRACK)
 
 
 _DAY_SQL = f"""select track_id, icao24, time_position, callsign from (select *, row_number() over
@@ -496,7 +496,7 @@ def replace_snapshot_stream(t):
         lambda s: s.select(*_TRACK, F.date_trunc("day", "time_position").alias("last_seen")),
         sink=sink,
     )
-    return sinks.read_snapshot(t.spark, table, ["track_id"], "last_seen").select(*_TRACK)
+    return sinks.read_snapshot(t.spark, table, ["track_id"], "last_seen", newest()).select(*_TRACK)
 
 
 @query(

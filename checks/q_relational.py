@@ -459,7 +459,7 @@ def top_k(t):
 )
 @tables
 def display_limit(t):
-    return serving.weather_map(t.fx("weather")).select("lat", "lon", "windspeed_ms", "temperature_c")
+    return serving.weather_map(t.fx("weather"), limit=2000).select("lat", "lon", "windspeed_ms", "temperature_c")
 
 
 @query(

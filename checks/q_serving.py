@@ -48,7 +48,7 @@ def flights_map(t):
 @query("q02_seismics_map", "select * from s_seismics order by event_time desc, id desc limit 500")
 @tables
 def seismics_map(t):
-    return serving.seismics_map(t.fx("seismics"), t.as_of)
+    return serving.seismics_map(t.fx("seismics"), t.as_of, limit=500)
 
 
 @query("q03_weather_map", "select * from s_weather")
@@ -129,7 +129,7 @@ def airports(t):
 )
 @tables
 def risk_grid(t):
-    grid = serving.risk_grid(context_mart(t))
+    grid = serving.risk_grid(context_mart(t), limit=500)
     return grid.withColumn("risk_score", round_half_up(F.col("risk_score"), 4))
 
 
@@ -162,7 +162,7 @@ from fx_flights where origin_country is not null group by 1 order by total_fligh
 @query("q12_top_countries", "select * from s_countries")
 @tables
 def top_countries(t):
-    return serving.top_countries(t.fx("flights"))
+    return serving.top_countries(t.fx("flights"), limit=25)
 
 
 @query(
@@ -174,7 +174,7 @@ def top_countries(t):
 )
 @tables
 def top_airlines(t):
-    return serving.top_airlines(t.fx("flights"), t.enriched())
+    return serving.top_airlines(t.fx("flights"), t.enriched(), limit=20)
 
 
 @query(
@@ -186,7 +186,7 @@ def top_airlines(t):
 )
 @tables
 def top_airports(t):
-    return serving.top_airports(t.fx("flights"), t.enriched())
+    return serving.top_airports(t.fx("flights"), t.enriched(), limit=20)
 
 
 @query(
@@ -197,7 +197,7 @@ def top_airports(t):
 )
 @tables
 def seismic_regions(t):
-    return serving.seismic_by_region(t.fx("seismics"), t.as_of)
+    return serving.seismic_by_region(t.fx("seismics"), t.as_of, limit=25)
 
 
 @query(
@@ -217,7 +217,7 @@ def phases(t):
 )
 @tables
 def country_counts(t):
-    return serving.country_counts(t.fx("flights"))
+    return serving.country_counts(t.fx("flights"), limit=100)
 
 
 @query(
@@ -334,7 +334,7 @@ def filter_options(t):
 )
 @tables
 def live_samples(t):
-    quakes = serving.seismics_map(t.fx("seismics"), t.as_of)
+    quakes = serving.seismics_map(t.fx("seismics"), t.as_of, limit=500)
     lists = serving.live_samples(quakes, serving.top_countries(t.fx("flights")), flights_of(t))
     named = {"quakes": "id", "countries": "origin_country", "flights": "icao24"}
     parts = [

@@ -11,7 +11,7 @@ from aerolith.plans import intermediate, marts, staging
 from aerolith.plans import windows as win
 from checks import views
 from checks.inputs import tables
-from checks.registry import AS_OF, CTES, query, rnd
+from checks.registry import AS_OF, CTES, query, rnd, rnd_once
 
 
 def rounded(df, digits=4):
@@ -61,7 +61,7 @@ def stg_airlines(t):
 
 @query(
     "p06_flight_phase",
-    f"""select icao24, case when velocity >= 0 then {rnd("velocity", 2)} end as velocity_ms,
+    f"""select icao24, case when velocity >= 0 then {rnd_once("velocity", 2)} end as velocity_ms,
         case when on_ground then 'on_ground' when baro_altitude is null then 'unknown'
              when baro_altitude < 300 then 'takeoff_landing' when baro_altitude < 3000 then 'climbing_descending'
              else 'cruising' end as flight_phase from v_flights""",

@@ -21,10 +21,15 @@ AS_OF = "(select max(ts) from events)"
 
 
 def rnd(expression: str, digits: int) -> str:
-    """Decimal rounding in reference SQL."""
+    """Decimal rounding in reference SQL, of sums and averages."""
     return f"cast(round(cast({expression} as decimal(28,6)), {digits}) as double)"
 
 
+def rnd_once(expression: str, digits: int) -> str:
+    """Decimal rounding of a single value in reference SQL, of the decimal form of a double."""
+    return f"cast(round(cast(cast({expression} as varchar) as decimal(38,15)), {digits}) as double)"
+
+
 def with_ctes(sql: str) -> str:
     """Prefix a statement with the views it uses, in order of need."""
     needed: list[str] = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from aerolith.functions.geo import CONTINENT_BOXES
 from aerolith.functions.rules import CONTINENT_COUNTRIES, WEATHER_LABELS, listed
-from checks.registry import AS_OF, CTES, rnd
+from checks.registry import AS_OF, CTES, rnd, rnd_once
 
 
 def cell(column: str) -> str:
@@ -31,20 +31,20 @@ _countries = " ".join(
 CTES["v_flights"] = f"""
 select icao24, nullif(trim(callsign), '') as callsign, nullif(trim(origin_country), '') as origin_country,
   time_position, last_contact, longitude, latitude, baro_altitude, on_ground, velocity, true_track, category,
-  case when baro_altitude >= 0 then {rnd("baro_altitude", 1)} end as baro_altitude_m,
-  case when velocity >= 0 then {rnd("velocity * 1.94384", 1)} end as velocity_knots,
+  case when baro_altitude >= 0 then {rnd_once("baro_altitude", 1)} end as baro_altitude_m,
+  case when velocity >= 0 then {rnd_once("velocity * 1.94384", 1)} end as velocity_knots,
   case {_boxes} else 'Other' end as continent,
   {cell("latitude")} as grid_lat, {cell("longitude")} as grid_lon
 from fx_flights
 where latitude between -90 and 90 and longitude between -180 and 180"""
 
 CTES["v_weather"] = f"""
-select point_id, latitude, longitude, trim(region_name) as region_name, {rnd("elevation_m", 1)} as elevation_m,
-  weathercode, {rnd("windspeed_ms", 2)} as windspeed_ms, {rnd("windgusts_ms", 2)} as windgusts_ms,
-  {rnd("precipitation_mm", 2)} as precipitation_mm, {rnd("snowfall_cm", 2)} as snowfall_cm,
-  {rnd("cloudcover_pct", 1)} as cloudcover_pct, {rnd("temperature_c", 2)} as temperature_c,
-  {rnd("humidity_pct", 1)} as humidity_pct, {rnd("visibility_m", 0)} as visibility_m,
-  {rnd("pressure_hpa", 2)} as pressure_hpa,
+select point_id, latitude, longitude, trim(region_name) as region_name, {rnd_once("elevation_m", 1)} as elevation_m,
+  weathercode, {rnd_once("windspeed_ms", 2)} as windspeed_ms, {rnd_once("windgusts_ms", 2)} as windgusts_ms,
+  {rnd_once("precipitation_mm", 2)} as precipitation_mm, {rnd_once("snowfall_cm", 2)} as snowfall_cm,
+  {rnd_once("cloudcover_pct", 1)} as cloudcover_pct, {rnd_once("temperature_c", 2)} as temperature_c,
+  {rnd_once("humidity_pct", 1)} as humidity_pct, {rnd_once("visibility_m", 0)} as visibility_m,
+  {rnd_once("pressure_hpa", 2)} as pressure_hpa,
   case weathercode {_labels} else 'Unknown' end as weather_label,
   case when windgusts_ms is null or windgusts_ms >= 40 then 'storm' when windgusts_ms >= 30 then 'gale'
        when windgusts_ms >= 20 then 'strong' when windgusts_ms >= 10 then 'moderate' else 'calm' end as wind_severity,
@@ -53,8 +53,8 @@ from fx_weather
 where temperature_c between -90 and 60"""
 
 CTES["v_seismics"] = f"""
-select id, {rnd("mag", 2)} as mag, upper(trim(mag_type)) as mag_type, trim(place) as place, tsunami, event_time,
-  event_type, title, sig, lat, lon, {rnd("depth", 2)} as depth_km,
+select id, {rnd_once("mag", 2)} as mag, upper(trim(mag_type)) as mag_type, trim(place) as place, tsunami, event_time,
+  event_type, title, sig, lat, lon, {rnd_once("depth", 2)} as depth_km,
   case when place like '%, %' then trim(string_split(place, ',')[-1]) else trim(place) end as region,
   case when mag >= 8 then 'great' when mag >= 7 then 'major' when mag >= 6 then 'strong' when mag >= 5 then 'moderate'
        when mag >= 4 then 'light' when mag >= 2 then 'minor' else 'micro' end as magnitude_class,
@@ -65,8 +65,8 @@ where mag is not null and event_time is not null and lat between -90 and 90 and
 CTES["v_airports"] = f"""
 select airport_id, trim(name) as airport_name, trim(city) as city, trim(country) as country,
   nullif(trim(iata), '') as iata_code, nullif(trim(icao), '') as icao_code,
-  {rnd("latitude", 6)} as latitude, {rnd("longitude", 6)} as longitude, altitude_ft,
-  {rnd("altitude_ft * 0.3048::double", 1)} as altitude_m, nullif(trim(tz_database), '') as tz_database,
+  {rnd_once("latitude", 6)} as latitude, {rnd_once("longitude", 6)} as longitude, altitude_ft,
+  {rnd_once("altitude_ft * 0.3048::double", 1)} as altitude_m, nullif(trim(tz_database), '') as tz_database,
   case {_countries} else 'Other' end as continent, airport_type
 from fx_airports
 where latitude between -90 and 90 and longitude between -180 and 180 and airport_type <> 'station'"""
@@ -101,7 +101,7 @@ select r.airline as airline_code, c.airline_name, c.country as airline_country,
   b.country as destination_country, b.continent as destination_continent, b.latitude as destination_lat,
   b.longitude as destination_lon, b.tz_database as destination_timezone,
   r.codeshare = 'Y' as is_codeshare, r.stops, r.equipment as aircraft_codes,
-  {rnd(_km, 1)} as distance_km,
+  {rnd_once(_km, 1)} as distance_km,
   case when a.continent = b.continent then 'domestic/regional' else 'international' end as route_type
 from fx_routes r
 left join v_airline_codes c on c.code = upper(r.airline)
@@ -129,7 +129,7 @@ where rn = 1"""
 CTES["v_enriched"] = f"""
 select f.icao24, f.callsign, f.origin_country, f.time_position, f.last_contact, f.longitude, f.latitude,
   f.baro_altitude_m, f.on_ground,
-  case when f.velocity >= 0 then {rnd("f.velocity", 2)} end as velocity_ms, f.velocity_knots,
+  case when f.velocity >= 0 then {rnd_once("f.velocity", 2)} end as velocity_ms, f.velocity_knots,
   case when f.on_ground then 'on_ground' when f.baro_altitude is null then 'unknown'
        when f.baro_altitude >= 3000 then 'cruising' when f.baro_altitude >= 300 then 'climbing_descending'
        else 'takeoff_landing' end as flight_phase,

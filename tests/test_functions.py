@@ -122,3 +122,12 @@ def test_country_codes_are_unique():
     rows = country_code_rows()
     assert len({r[0] for r in rows}) == len({r[1] for r in rows}) == len({r[2] for r in rows}) == len(rows)
     assert ("Albania", "ALB", 8) in rows
+
+
+def test_single_values_are_rounded_once(spark):
+    from aerolith.functions.casting import round_half_up, round_once
+
+    df = spark.createDataFrame([(1.0049996, 2.3449997, 0.4999996, 16.365)], "a double, b double, c double, d double")
+    got = df.select(round_once(F.col("a"), 2), round_once(F.col("b"), 2), round_once(F.col("c"), 0), round_once(F.col("d"), 2))
+    assert tuple(got.first()) == (1.0, 2.34, 0.0, 16.37)
+    assert df.select(round_half_up(F.col("a"), 2)).first()[0] == 1.01  # sums and averages settle first

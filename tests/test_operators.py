@@ -201,3 +201,20 @@ def test_observed_rules_come_with_the_load(spark):
 def test_unknown_rule_is_refused():
     with pytest.raises(ValueError):
         quality.failures("x", "other")
+
+
+def test_contains_join_takes_a_backslash_as_itself(spark):
+    texts = spark.createDataFrame([("xA\\By",), ("AB",), ("a%b",), ("",)], "text string")
+    codes = spark.createDataFrame([("A\\B",), ("\\",), ("%",), ("B",)], "code string")
+    got = {tuple(r) for r in joins.contains_join(texts, "text", codes, "code").select("text", "code").collect()}
+    every = {(t, "%") for t in ("xA\\By", "AB", "a%b", "")}
+    assert got == every | {("xA\\By", "A\\B"), ("xA\\By", "\\"), ("xA\\By", "B"), ("AB", "B")}
+
+
+def test_country_map_keeps_a_coded_country_that_ranks_last(spark):
+    from aerolith.plans import serving
+
+    rows = [(f"Nowhere {i}",) for i in range(150) for _ in range(2)] + [("France",)]
+    flights = spark.createDataFrame(rows, "origin_country string")
+    assert [r.origin_country for r in serving.country_map(serving.country_counts(flights)).collect()] == ["France"]
+    assert serving.country_counts(flights, limit=100).count() == 100

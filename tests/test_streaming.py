@@ -88,8 +88,31 @@ def test_a_snapshot_over_two_batches_stays_whole(spark):
         feed.run(lambda s: s, sink=sink)
     state = sinks.read_snapshot(spark, table, ["k"], "snap")
     assert {(r.k, r.v) for r in state.collect()} == {("a", 3), ("c", 2)}
-    folded = sinks.compact(spark, table, ["k"], fresh_path(spark, "folded"))
-    assert {r.k for r in folded.collect()} == {"a", "b", "c"}
+    order = [F.desc("snap"), F.desc("v")]
+    folded = sinks.compact(spark, table, ["k"], order)
+    assert {(r.k, r.v) for r in folded.collect()} == {("a", 3), ("b", 1), ("c", 2)}
+    assert sinks.read_batches(spark, table).count() == 3
+    feed.add([("b", 2, 9)])
+    feed.run(lambda s: s, sink=sink)
+    assert {(r.k, r.v) for r in sinks.read_keyed(spark, table, ["k"], order).collect()} == {("a", 3), ("b", 9), ("c", 2)}
+
+
+def test_a_late_record_and_a_new_checkpoint_lose_nothing(spark):
+    table, order = fresh_path(spark, "table"), [F.desc("snap")]
+    sink = sinks.upsert_sink(table, ["k"], order)
+    first = Feed(spark, "k string, snap int")
+    first.add([("a", 10), ("b", 10)])
+    first.run(lambda s: s, sink=sink)
+    first.add([("a", 5)])
+    first.run(lambda s: s, sink=sink)
+    state = {tuple(r) for r in sinks.read_keyed(spark, table, ["k"], order).collect()}
+    assert state == {("a", 10), ("b", 10)}
+    assert {r.k for r in sinks.read_snapshot(spark, table, ["k"], "snap", order).collect()} == {"a", "b"}
+    second = Feed(spark, "k string, snap int")
+    second.add([("c", 11)])
+    second.run(lambda s: s, sink=sink)
+    state = {tuple(r) for r in sinks.read_keyed(spark, table, ["k"], order).collect()}
+    assert state == {("a", 10), ("b", 10), ("c", 11)}
 
 
 def test_appended_ids_do_not_change_on_a_second_write(spark):
