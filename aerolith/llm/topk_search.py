@@ -7,9 +7,10 @@ every score in it. Blocks are scored in the order of their bounds until the
 bound falls below the query's kth score, which drops no result and no tie.
 
 Blocks come from a range partition by leading dimension, then id: vectors that
-point the same way share a block, which makes the bounds tight. Queries are cut
-into chunks; a chunk meets a group of blocks in one task, so that neither side
-is ever held whole, and the lists of the groups are merged by rank.
+point the same way share a block, which makes the bounds tight. The queries are
+cut into chunks in the same way. Every chunk meets the blocks of every partition
+in a task of its own, so that neither side is ever held whole, and the lists of
+the partitions are merged by rank.
 
 Vectors that are null or hold null or non-finite components, and rows with a
 null id, take no part. An id that occurs several times is one item, with the
@@ -148,15 +149,11 @@ def top_k(
     chunks = max(1, -(-asked.count() // CHUNK))
     ordered = asked.repartitionByRange(chunks, "vec_id").sortWithinPartitions("vec_id")
     query_chunks = written(blocks(ordered, CHUNK), "queries")
-    # a partition has GROUP blocks or some more; the group number counts on within it
-    groups = F.shiftright("block", 32) * 4096 + F.floor(F.col("block").bitwiseAND(F.lit((1 << 32) - 1)) / GROUP)
-    grouped = index.withColumn("g", groups)
-    group_ids = grouped.select("g").distinct()
-    chunk_ids = query_chunks.select(F.col("block").alias("c"))
-    pairs = paired(group_ids, chunk_ids)
-    left = grouped.join(pairs, "g").select("g", "c", "n", "dim", "ids", "rows")
-    same = pairs.select((F.col("g") + 0).alias("g"), (F.col("c") + 0).alias("c"))
-    right = query_chunks.withColumnRenamed("block", "c").join(same, "c").select("g", "c", "n", "dim", "ids", "rows")
+    part = F.shiftright("block", 32).cast("int")
+    groups, chunks = (1 + (df_.agg(F.max(part)).first()[0] or 0) for df_ in (index, query_chunks))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.select(part.alias("g"), every(chunks).alias("c"), "n", "dim", "ids", "rows")
+    right = query_chunks.select(every(groups).alias("g"), part.alias("c"), "n", "dim", "ids", "rows")
 
     def search(own: pa.Table, asking: pa.Table) -> pa.Table:
         kinds = [pa.int64(), pa.int64(), pa.int64()]
@@ -178,11 +175,3 @@ def top_k(
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def paired(groups: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(g, c): every block group with every chunk of the stated query set, numbers only."""
-    listed = chunks.agg(F.collect_list("c").alias("cs"))
-    return groups.withColumn("one", F.lit(1)).join(listed.withColumn("one", F.lit(1)), "one").select(
-        "g", F.explode("cs").alias("c")
-    )
