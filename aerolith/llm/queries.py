@@ -17,7 +17,7 @@ from aerolith.llm import (
     topk_search,
     toxicity,
 )
-from aerolith.llm.common import learnable, remainder_is, table
+from aerolith.llm.common import learnable, remainder_is, table, written
 from aerolith.llm.registry import query
 
 
@@ -36,7 +36,8 @@ def rank_pattern() -> str:
 @query("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     make = token_counts.rank_encoder(tokenizer_path("byte_bpe_50k.tiktoken"), rank_pattern())
-    return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents"), make))
+    histogram = token_counts.length_histogram(table(spark, sf_dir, "documents"), make)
+    return token_counts.suffix_sums(written(histogram, "lengths"))  # read twice, encoded once
 
 
 @query("op2_secret_scan")
