@@ -62,37 +62,45 @@ WIND_RISK = {"storm": 25, "gale": 18, "strong": 10, "moderate": 5}
 
 # Continent of an airport by its country.
 CONTINENT_COUNTRIES = {
-    "North America": """United States, Canada, Mexico, Cuba, Jamaica, Dominican Republic, Haiti,
-        Guatemala, Honduras, El Salvador, Nicaragua, Costa Rica, Panama, Bahamas, Barbados,
-        Trinidad and Tobago""",
-    "South America": """Brazil, Argentina, Colombia, Chile, Peru, Venezuela, Ecuador, Bolivia,
-        Paraguay, Uruguay, Guyana, Suriname, French Guiana""",
-    "Europe": """United Kingdom, France, Germany, Spain, Italy, Netherlands, Belgium, Switzerland,
-        Austria, Sweden, Norway, Denmark, Finland, Portugal, Greece, Poland, Czech Republic,
-        Hungary, Romania, Ukraine, Russia, Turkey, Ireland, Croatia, Serbia, Bulgaria, Slovakia,
-        Iceland, Luxembourg, Slovenia, Estonia, Latvia, Lithuania, Albania,
-        Bosnia and Herzegovina, Moldova, North Macedonia, Montenegro, Kosovo, Belarus""",
-    "Asia": """China, Japan, South Korea, India, Indonesia, Thailand, Vietnam, Malaysia,
-        Philippines, Pakistan, Bangladesh, Myanmar, Saudi Arabia, Iran, Iraq,
-        United Arab Emirates, Israel, Jordan, Kuwait, Qatar, Bahrain, Oman, Yemen, Syria,
-        Lebanon, Afghanistan, Nepal, Sri Lanka, Cambodia, Laos, Mongolia, Kazakhstan,
-        Uzbekistan, Kyrgyzstan, Tajikistan, Turkmenistan, Azerbaijan, Georgia, Armenia,
-        Singapore, Taiwan, Hong Kong""",
-    "Africa": """Nigeria, South Africa, Kenya, Ethiopia, Egypt, Tanzania, Uganda, Ghana,
-        Mozambique, Angola, Cameroon, Ivory Coast, Niger, Burkina Faso, Mali, Senegal, Guinea,
-        Zambia, Zimbabwe, Somalia, South Sudan, Sudan, Libya, Algeria, Morocco, Tunisia,
-        Madagascar, Rwanda, Burundi, Benin, Togo, Sierra Leone, Eritrea, Djibouti, Comoros,
-        Mauritius, Seychelles, Cape Verde, Gambia""",
-    "Oceania": """Australia, New Zealand, Papua New Guinea, Fiji, Solomon Islands, Vanuatu, Samoa,
-        Tonga, Kiribati, Micronesia, Palau, Marshall Islands, Nauru, Tuvalu""",
+    "North America": [
+        "United States", "Canada", "Mexico", "Cuba", "Jamaica", "Dominican Republic", "Haiti", "Guatemala",
+        "Honduras", "El Salvador", "Nicaragua", "Costa Rica", "Panama", "Bahamas", "Barbados",
+        "Trinidad and Tobago",
+    ],
+    "South America": [
+        "Brazil", "Argentina", "Colombia", "Chile", "Peru", "Venezuela", "Ecuador", "Bolivia", "Paraguay",
+        "Uruguay", "Guyana", "Suriname", "French Guiana",
+    ],
+    "Europe": [
+        "United Kingdom", "France", "Germany", "Spain", "Italy", "Netherlands", "Belgium", "Switzerland",
+        "Austria", "Sweden", "Norway", "Denmark", "Finland", "Portugal", "Greece", "Poland",
+        "Czech Republic", "Hungary", "Romania", "Ukraine", "Russia", "Turkey", "Ireland", "Croatia",
+        "Serbia", "Bulgaria", "Slovakia", "Iceland", "Luxembourg", "Slovenia", "Estonia", "Latvia",
+        "Lithuania", "Albania", "Bosnia and Herzegovina", "Moldova", "North Macedonia", "Montenegro",
+        "Kosovo", "Belarus",
+    ],
+    "Asia": [
+        "China", "Japan", "South Korea", "India", "Indonesia", "Thailand", "Vietnam", "Malaysia",
+        "Philippines", "Pakistan", "Bangladesh", "Myanmar", "Saudi Arabia", "Iran", "Iraq",
+        "United Arab Emirates", "Israel", "Jordan", "Kuwait", "Qatar", "Bahrain", "Oman", "Yemen", "Syria",
+        "Lebanon", "Afghanistan", "Nepal", "Sri Lanka", "Cambodia", "Laos", "Mongolia", "Kazakhstan",
+        "Uzbekistan", "Kyrgyzstan", "Tajikistan", "Turkmenistan", "Azerbaijan", "Georgia", "Armenia",
+        "Singapore", "Taiwan", "Hong Kong",
+    ],
+    "Africa": [
+        "Nigeria", "South Africa", "Kenya", "Ethiopia", "Egypt", "Tanzania", "Uganda", "Ghana",
+        "Mozambique", "Angola", "Cameroon", "Ivory Coast", "Niger", "Burkina Faso", "Mali", "Senegal",
+        "Guinea", "Zambia", "Zimbabwe", "Somalia", "South Sudan", "Sudan", "Libya", "Algeria", "Morocco",
+        "Tunisia", "Madagascar", "Rwanda", "Burundi", "Benin", "Togo", "Sierra Leone", "Eritrea",
+        "Djibouti", "Comoros", "Mauritius", "Seychelles", "Cape Verde", "Gambia",
+    ],
+    "Oceania": [
+        "Australia", "New Zealand", "Papua New Guinea", "Fiji", "Solomon Islands", "Vanuatu", "Samoa",
+        "Tonga", "Kiribati", "Micronesia", "Palau", "Marshall Islands", "Nauru", "Tuvalu",
+    ],
 }
 
 
-def listed(names: str) -> list[str]:
-    """Names of a comma-separated block of text."""
-    return [" ".join(n.split()) for n in names.split(",")]
-
-
 def bands(value: Column, edges: Sequence[tuple], otherwise, below: bool = True) -> Column:
     """First band whose edge the value is below (or, with ``below=False``, at or above).
 
@@ -139,7 +147,7 @@ def flight_phase(on_ground: Column, altitude: Column) -> Column:
 def country_continent(country: str) -> Column:
     """Continent of the country in a column."""
     cases = " ".join(
-        f"when {country} in ({', '.join(repr(n) for n in listed(names))}) then '{continent}'"
+        f"when {country} in ({', '.join(repr(n) for n in names)}) then '{continent}'"
         for continent, names in CONTINENT_COUNTRIES.items()
     )
     return F.expr(f"case {cases} else 'Other' end")

@@ -1,4 +1,4 @@
-"""Most frequent values, distinct counts and plain measures in one pass."""
+"""Most frequent and highest values, distinct counts and plain measures in one pass."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def mode_of(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -71,17 +72,22 @@ def profile(
     measures: Sequence[Measure],
     modes: dict[str, str] | None = None,
     distinct: dict[str, str] | None = None,
+    tops: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Measures, modes and distinct counts per key from a single scan.
+    """Measures, modes, distinct counts and highest texts per key from a single scan.
 
-    ``modes`` and ``distinct`` map an output name to a text column. Step one
+    ``modes``, ``distinct`` and ``tops`` map an output name to a column. Modes and
+    tops need text columns, as values are compared in text order. Step one
     groups by the keys and all those columns (combined before the shuffle). Step
     two turns each column into (field, value) rows of the reduced data and adds
     up their counts; the measures travel on one extra row per group. Step three
     picks the winners. All steps merge partial results, none collects a group.
     """
-    modes, distinct = modes or {}, distinct or {}
-    fields = sorted(set(modes.values()) | set(distinct.values()))
+    modes, distinct, tops = modes or {}, distinct or {}, tops or {}
+    fields = sorted({*modes.values(), *distinct.values(), *tops.values()})
+    other = [f for f in (*modes.values(), *tops.values()) if df.schema[f].dataType != StringType()]
+    if other:
+        raise TypeError(f"a profile takes modes and tops of text columns only, not of {other}")
     parts = {name: spec for m in measures for name, spec in m.partial.items()}
 
     tuples = df.groupBy(*keys, *fields).agg(
@@ -110,4 +116,5 @@ def profile(
         *[m.final.alias(m.name) for m in measures],
         *[winner(f).alias(name) for name, f in modes.items()],
         *[F.count_if(F.col(_FIELD) == f).alias(name) for name, f in distinct.items()],
+        *[F.max(F.when(F.col(_FIELD) == f, F.col(_VALUE))).alias(name) for name, f in tops.items()],
     )

@@ -31,9 +31,6 @@ def flight_activity(
         .withColumnRenamed("current_continent", "continent"),
         ["origin_country", "continent"],
         [
-            highest("airline_name", F.col("airline_name")),
-            highest("airline_iata", F.col("airline_iata")),
-            highest("airline_icao", F.col("airline_icao")),
             counted("live_flight_count"),
             counted("live_airborne_count", ~F.col("on_ground")),
             counted("live_on_ground_count", F.col("on_ground")),
@@ -48,6 +45,7 @@ def flight_activity(
         ],
         modes={"most_common_airport": "nearest_airport_name", "most_common_city": "nearest_airport_city"},
         distinct={"active_grid_cells": "_cell"},
+        tops={name: name for name in ("airline_name", "airline_iata", "airline_icao")},
     )
     share = F.col("flights_near_airport") / F.nullif(F.col("live_flight_count"), F.lit(0)) * 100
     newest = latest_window(tumbling).select(

@@ -195,13 +195,20 @@ def flight_context(
     size: str = WINDOW,
     watermarks: tuple[str | None, str | None, str | None] = (None, None, None),
     incremental: bool = False,
+    arrivals: tuple[str | None, str | None, str | None] = (None, None, None),
 ) -> DataFrame:
     """Flights per window and cell, with the quakes and weather of the same window and cell.
 
     All three inputs are aggregated before they meet. On streams this needs a
     watermark on each input and append mode: a row appears once all three have
     passed the end of its window. The incremental form leaves missing weather NULL.
+    ``arrivals`` name the arrival times of the inputs: a record whose event time
+    is 0 or missing then falls into the window of its arrival.
     """
+    flights, seismics, weather = (
+        df.withColumn(ts, event_or_arrival(F.col(ts), F.col(arrival))) if arrival else df
+        for df, ts, arrival in zip((flights, seismics, weather), (flight_ts, seismic_ts, weather_ts), arrivals)
+    )
     facts = flights_by_cell(flights, flight_ts, size, watermarks[0], incremental)
     quakes = seismics_by_cell(seismics, seismic_ts, size, watermarks[1], incremental)
     readings = weather_by_cell(weather, weather_ts, size, watermarks[2], incremental)

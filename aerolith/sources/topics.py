@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+_UNREAD = "_unread"
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str, start: str = "earliest", **options) -> DataFrame:
@@ -26,9 +29,17 @@ def read_message_files(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def decode(messages: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns of the declared fields. Undeclared fields are not read."""
-    body = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(body.alias("_m"), *keep).select("_m.*", *keep)
+    """Typed columns of the declared fields. Undeclared fields are not read.
+
+    A message that is no JSON object, or of which no field can be read, gives no
+    row. ``drop_malformed`` counts what it drops and asks for all declared fields.
+    """
+    with_rest = StructType([*schema.fields, StructField(_UNREAD, StringType())])
+    body = F.from_json(F.col("value").cast("string"), with_rest, {"columnNameOfCorruptRecord": _UNREAD})
+    parsed = messages.select(body.alias("_m"), *keep)
+    any_read = reduce(Column.__or__, [F.col("_m")[n].isNotNull() for n in schema.names])
+    read = F.col("_m").isNotNull() & (F.col("_m")[_UNREAD].isNull() | any_read)
+    return parsed.filter(read).select("_m.*", *keep).drop(_UNREAD)
 
 
 def read_topic_json(

@@ -14,6 +14,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 FLUSH_ROWS = {"flights": 9000, "weather": 257}
 FLUSH_INTERVAL = "10 seconds"
 
+STATE_PARTITIONS = "aerolith.state.partitions"
+
 
 def flush_options(feed: str) -> dict[str, str]:
     """Reader options that bound a micro-batch of a Kafka feed."""
@@ -21,11 +23,12 @@ def flush_options(feed: str) -> dict[str, str]:
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Partitions of the streaming state: one per core of the cluster.
+    """Partitions of the streaming state: the setting ``aerolith.state.partitions``, else one per core.
 
     A query keeps this number for life, so it is not left to the batch setting.
+    Where executors come and go the cores at the start say little; set it there.
     """
-    return spark.sparkContext.defaultParallelism
+    return int(spark.conf.get(STATE_PARTITIONS, None) or spark.sparkContext.defaultParallelism)
 
 
 @contextmanager

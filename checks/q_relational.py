@@ -8,7 +8,7 @@ from aerolith.functions import rules
 from aerolith.functions.casting import (
     blank_to_null, coerce_numeric, epoch_to_ts, nan_to_null, round_half_up, safe_cast, truthy, ts_label,
 )
-from aerolith.functions.codes import country_code_rows
+from aerolith.functions.codes import COUNTRY_CODES
 from aerolith.functions.text import region_of, snapshot_id
 from aerolith.operators import keyed
 from aerolith.operators.joins import contains_counts, contains_join, enrich, lookup_union, top1_lateral
@@ -219,7 +219,7 @@ def scalar_max(t):
     return keyed.latest_window(t.flight_windows()).select("origin_country", "flight_count")
 
 
-_codes = ", ".join(f"('{name}', '{iso3}', {number})" for name, iso3, number in country_code_rows())
+_codes = ", ".join(f"('{name}', '{iso3}', {number})" for name, iso3, number in COUNTRY_CODES)
 CTES["v_iso"] = f"select * from (values {_codes}) v(country, iso_a3, number)"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from aerolith.functions.casting import round_half_up
 from aerolith.operators import quality
 from aerolith.plans import serving
+from aerolith.plans.intermediate import country_airline
 from checks.inputs import tables
 from checks.q_tables import context_mart
 from checks.registry import AS_OF, CTES, query, rnd
@@ -228,11 +229,9 @@ def country_counts(t):
 @tables
 def filtered_flights(t):
     flights = flights_of(t)
-    first = serving.filter_flights(flights, callsign="B1", country="NATION_11", ground="airborne")
-    from aerolith.plans.intermediate import country_airline
-
-    name = country_airline(t.staged("airlines")).filter("country = 'NATION_11'").select("airline_name").scalar()
-    return serving.filter_flights(first).filter(F.col("airline") == name)
+    named = country_airline(t.staged("airlines")).filter("country = 'NATION_11'").first()
+    airline = named["airline_name"] if named else "none"
+    return serving.filter_flights(flights, callsign="B1", country="NATION_11", ground="airborne", airline=airline)
 
 
 @query(

@@ -356,6 +356,20 @@ def flight_context_incremental(t):
     return rounded(t.context(incremental=True))
 
 
+@query("t08_flight_context_arrivals", rounded_sql(T08_SELECT, *_CONTEXT_COLS))
+@tables
+def flight_context_arrivals(t):
+    """Flights on the ground come without an event time and count in the window of their arrival."""
+    stamped = F.when(F.col("on_ground"), F.timestamp_seconds(F.lit(0))).otherwise(F.col("time_position"))
+    flights = t.fx("flights").withColumn("arrived", F.col("time_position")).withColumn("time_position", stamped)
+    return rounded(
+        win.flight_context(
+            flights, t.fx("seismics"), t.fx("weather_stream"), "time_position", "event_time", "snapshot_ts", "6 hours",
+            incremental=True, arrivals=("arrived", None, None),
+        )
+    )
+
+
 # --- geography and scalar rules ---------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from aerolith.functions.geo import CONTINENT_BOXES
-from aerolith.functions.rules import CONTINENT_COUNTRIES, WEATHER_LABELS, listed
+from aerolith.functions.rules import CONTINENT_COUNTRIES, WEATHER_LABELS
 from checks.registry import AS_OF, CTES, rnd, rnd_once
 
 
@@ -24,7 +24,7 @@ _boxes = " ".join(
 )
 _labels = " ".join(f"when {code} then '{label}'" for code, label in WEATHER_LABELS.items())
 _countries = " ".join(
-    f"when country in ({', '.join(repr(c) for c in listed(names))}) then '{continent}'"
+    f"when country in ({', '.join(repr(c) for c in names)}) then '{continent}'"
     for continent, names in CONTINENT_COUNTRIES.items()
 )
 

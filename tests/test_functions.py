@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolith.functions import casting, geo, rules
-from aerolith.functions.codes import country_code_rows
+from aerolith.functions.codes import COUNTRY_CODES
 from aerolith.functions.text import one_decimal, region_of
 
 
@@ -119,7 +119,7 @@ def test_risk_score_bounds(spark):
 
 
 def test_country_codes_are_unique():
-    rows = country_code_rows()
+    rows = COUNTRY_CODES
     assert len({r[0] for r in rows}) == len({r[1] for r in rows}) == len({r[2] for r in rows}) == len(rows)
     assert ("Albania", "ALB", 8) in rows
 

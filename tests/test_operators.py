@@ -218,3 +218,22 @@ def test_country_map_keeps_a_coded_country_that_ranks_last(spark):
     flights = spark.createDataFrame(rows, "origin_country string")
     assert [r.origin_country for r in serving.country_map(serving.country_counts(flights)).collect()] == ["France"]
     assert serving.country_counts(flights, limit=100).count() == 100
+
+
+def test_profile_takes_tops_and_refuses_numbers_as_modes(spark):
+    df = spark.createDataFrame([("a", "x", 9), ("a", "y", 10), ("a", None, 9), ("b", None, 1)], "k string, t string, n int")
+    got = profiles.profile(df, ["k"], [profiles.counted("rows")], distinct={"ns": "n"}, tops={"top": "t"})
+    assert rows(got.select("k", "rows", "ns", "top").na.fill("-")) == [("a", 3, 2, "y"), ("b", 1, 1, "-")]
+    with pytest.raises(TypeError):
+        profiles.profile(df, ["k"], [], modes={"mode": "n"})
+
+
+def test_country_codes_are_broadcast(spark):
+    from aerolith.functions.codes import country_codes
+
+    names, numbers = country_codes(spark)
+    big = spark.range(0, 10, 1, 4).select(F.lit("France").alias("country"))
+    joined = big.join(names, "country").join(numbers, "iso_a3")
+    assert "SortMergeJoin" not in plan(joined)
+    assert {(r.iso_a3, r.number) for r in joined.collect()} == {("FRA", 250)}
+    assert names.count() == numbers.count() == 121

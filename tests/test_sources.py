@@ -147,3 +147,13 @@ def test_weather_grid_size_and_names(spark):
     names = {(r.lat, r.lon): r.name for r in points.collect()}
     assert names[(-60.0, -180.0)] == "grid_-60_-180" and names[(40.0, 20.0)] == "dense_40_20"
     assert names[(80.0, 0.0)] == "polar_80_0"
+
+
+def test_decode_drops_what_is_no_object(spark):
+    schema = "icao24 string, callsign string"
+    from pyspark.sql.types import StructType
+
+    sent = messages(spark, "not json", "5", "[1]", "", '{"icao24": "a"}', '{"icao24": "b", "callsign": "X", "more": 1}', "{}")
+    got = topics.decode(sent, StructType.fromDDL(schema)).collect()
+    assert sorted((r.icao24 or "", r.callsign) for r in got) == [("", None), ("a", None), ("b", "X")]
+    assert topics.decode(sent.limit(0), StructType.fromDDL(schema)).count() == 0

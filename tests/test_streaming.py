@@ -191,3 +191,29 @@ def test_processing_time_query_runs_until_stopped(spark):
 def test_missing_table_reads_as_empty(spark, path):
     empty = sinks.read_or_empty(spark, f"{shared_dir(spark)}/{path}", spark.range(1).schema)
     assert empty.count() == 0
+
+
+def test_a_record_without_event_time_counts_at_its_arrival(spark):
+    flights = spark.createDataFrame(
+        [("1970-01-01 00:00:00", "2024-01-01 00:07:00"), (None, "2024-01-01 00:08:00"), ("2024-01-01 00:01:00", "2024-01-01 00:09:00")],
+        "ts string, arrived string",
+    ).select(F.col("ts").cast("timestamp"), F.col("arrived").cast("timestamp"), F.lit(1.0).alias("latitude"),
+             F.lit(2.0).alias("longitude"), F.lit(3.0).alias("baro_altitude"), F.lit(False).alias("on_ground"))
+    quakes = spark.createDataFrame([], "ts timestamp, lat double, lon double, mag double, tsunami int")
+    weather = spark.createDataFrame(
+        [], "ts timestamp, latitude double, longitude double, temperature_c double, windgusts_ms double, visibility_m double"
+    )
+    context = win.flight_context(
+        flights, quakes, weather, "ts", "ts", "ts", "5 minutes", incremental=True, arrivals=("arrived", None, None)
+    )
+    got = {(str(r.window_start), r.flight_count) for r in context.collect()}
+    assert got == {("2024-01-01 00:00:00", 1), ("2024-01-01 00:05:00", 2)}
+
+
+def test_state_partitions_can_be_set(spark):
+    assert runner.state_partitions(spark) == spark.sparkContext.defaultParallelism
+    spark.conf.set(runner.STATE_PARTITIONS, "37")
+    try:
+        assert runner.state_partitions(spark) == 37
+    finally:
+        spark.conf.unset(runner.STATE_PARTITIONS)
