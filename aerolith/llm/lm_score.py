@@ -11,12 +11,14 @@ could have predicted are excluded in shorter ones. Below the empty context all
 256 values are equally likely. Texts are lower-cased in ASCII and end with a
 symbol of their own, which is scored as well.
 
-The trie keeps the n-grams that make up at least SHARE of all positions, so it
-has at most 1 / SHARE nodes of each order, whatever the corpus; the mass of the
-rest goes to the escapes of their contexts. Likewise words that make up at least
-WORD_SHARE of the tokens, at most 1 / WORD_SHARE of them, are sent to the tasks;
-all other words of a document are looked up by a join. Both are exact bounds,
-and the base score uses the exact count of every word.
+The trie holds every n-gram of the training texts and is never gathered. What a
+gram needs of it are the contexts that end in the same two bytes, and the orders
+0 and 1, which have at most 2^16 nodes and are sent to the tasks. So grams are
+scored in tasks, dealt by those two bytes. The scores of grams that make up at
+least SHARE of all positions, at most 1 / SHARE of them, are sent to the tasks as
+a cache; the other grams of a document, each distinct one scored once, are looked
+up by a join. Likewise words: those that make up at least WORD_SHARE of the tokens
+are sent, all others are joined. No score depends on either share.
 
 `adaptive_cost` codes a text with a trie that starts empty and learns as it goes.
 
@@ -40,6 +42,7 @@ from aerolith.llm.common import slices, texts_of, written
 ORDER = 4
 BEGIN, END = 0xFE, 0xFF  # bytes that no UTF-8 text has
 SHARE = 1 / (1 << 20)
+SHORT = 2  # orders 0 and 1 are sent to the tasks
 WORD_SHARE = 1 / (1 << 18)
 HELD = 250_000
 STEP = 2 << 20
@@ -174,28 +177,90 @@ def log10_probability(tables: list[dict], codes: np.ndarray) -> np.ndarray:
 
 
 class GramScores:
-    """log10_probability with a direct-mapped table of the grams met last."""
+    """Scores of the cached grams, nan for others, with a direct-mapped table of the grams met last."""
 
-    def __init__(self, tables: list[dict]):
-        self.tables = tables
+    def __init__(self, codes: np.ndarray, scores: np.ndarray):
+        self.codes, self.scores = codes, scores
         self.keys = np.full(CACHE, -1, np.int64)
         self.values = np.zeros(CACHE)
 
+    def cached(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.full(len(codes), np.nan)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.scores[at], np.nan)
+
     def __call__(self, codes: np.ndarray) -> np.ndarray:
         slot = (codes * np.int64(0x9E3779B97F4A7C15 - (1 << 64))).view(np.uint64) >> np.uint64(44)
         out = self.values[slot]
         missed = np.flatnonzero(self.keys[slot] != codes)
         if len(missed):
             fresh, back = np.unique(codes[missed], return_inverse=True)
-            scores = log10_probability(self.tables, fresh)
-            out[missed] = scores[back]
+            out[missed] = self.cached(fresh)[back]
             self.keys[slot[missed]] = codes[missed]
             self.values[slot[missed]] = out[missed]
         return out
 
 
+def level(codes: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and counts of order k from grams of a higher order."""
+    codes = codes & ((1 << 8 * (k + 1)) - 1)
+    order_ = np.argsort(codes, kind="stable")
+    codes, n = codes[order_], n[order_]
+    starts = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def gram_scores(counted: DataFrame, asked: DataFrame, short: list, order: int) -> DataFrame:
+    """(gram, score) for each row of `asked`, under the trie of all grams `counted` (gram, n).
+
+    Grams meet by the last two bytes of their context; `short` are the levels below, of all grams.
+    """
+    shared = counted.sparkSession.sparkContext.broadcast(short)
+    both = counted.select("gram", "n").unionByName(asked.select("gram", F.lit(0).cast("long").alias("n")))
+    key = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * SHORT) - 1))
+    spread = both.withColumn("key", key).repartition("key").sortWithinPartitions("key")
+
+    def found(gram, n):
+        known = n > 0
+        wanted = gram[~known]
+        scores = np.zeros(0)
+        if len(wanted):
+            levels = shared.value + [level(gram[known], n[known], k) for k in range(len(short), order + 1)]
+            scores = log10_probability(trie(levels), wanted)
+        return pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(scores, pa.float64())], names=["gram", "score"])
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("key", "gram", "n")])
+            if sum(len(h[0]) for h in held) < 1 << 17:
+                continue
+            columns = [np.concatenate(c) for c in zip(*held)]
+            end = int(np.searchsorted(columns[0], columns[0][-1]))  # the last contexts may go on
+            if end:
+                yield found(*[c[:end] for c in columns[1:]])
+            held = [[c[end:] for c in columns]]
+        if held:
+            yield found(*[np.concatenate(c) for c in list(zip(*held))[1:]])
+
+    return spread.mapInArrow(run, "gram long, score double")
+
+
+def lacking(codes: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> pa.Array:
+    """For each text a list of (gram, times) of its grams at the places `at`."""
+    text_of, code = np.searchsorted(np.cumsum(lengths), at, side="right"), codes[at]
+    order_ = np.lexsort((code, text_of))
+    text_of, code = text_of[order_], code[order_]
+    starts = np.flatnonzero((np.diff(text_of, prepend=-1) != 0) | (np.diff(code, prepend=-1) != 0))
+    times = np.diff(np.append(starts, len(code)))
+    offsets = np.searchsorted(text_of[starts], np.arange(len(lengths) + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(code[starts], pa.int64()), pa.array(times, pa.int64())], ["gram", "times"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+
 def fit(df: DataFrame, text_col: str = "text", order: int = ORDER, share: float = SHARE, word_share: float = WORD_SHARE):
-    """Counts of all texts of df: the model for the tasks, and the table (word, n) of all words."""
+    """Counts of all texts of df: the model, with the table of all grams as `grams`, and the table (word, n) of all words."""
     table = written(counts(df, text_col, order), "counts")
     words = table.where("word is not null").select("word", "n")
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -203,21 +268,22 @@ def fit(df: DataFrame, text_col: str = "text", order: int = ORDER, share: float
     total = (sums["n"] or 0) + texts
     distinct = sums["v"] + (1 if texts else 0)
     frequent = words.where(F.col("n") >= F.lit(word_share * total)).collect()
-    positions = table.where("gram is not null").agg(F.sum("n")).first()[0] or 0
-    levels = []
-    for k in range(order + 1):
-        level = (
-            table.where("gram is not null")
-            .groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= F.lit(share * positions))
-        ).toArrow()
-        codes, n = (level.column(c).to_numpy().astype(np.int64) for c in ("gram", "n"))
-        by_code = np.argsort(codes)
-        levels.append((codes[by_code], n[by_code]))
+    grams_ = table.where("gram is not null").select("gram", "n")
+    positions = grams_.agg(F.sum("n")).first()[0] or 0
+    short = []
+    for k in range(min(SHORT, order + 1)):
+        low = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+        made = grams_.groupBy(low.alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+        short.append(level(*(made.column(c).to_numpy().astype(np.int64) for c in ("gram", "n")), k))
+    cache = gram_scores(grams_, grams_.where(F.col("n") >= F.lit(share * positions)), short, order).toArrow()
+    codes, scores = cache.column("gram").to_numpy(), cache.column("score").to_numpy()
+    by_code = np.argsort(codes)
     model = {
         "order": order,
-        "trie": trie(levels),
+        "trie": trie(short),
+        "short": short,
+        "cache": (codes[by_code], scores[by_code]),
+        "grams": grams_,
         "words": {bytes(r["word"]): r["n"] for r in frequent},
         "end": texts,
         "total": total,
@@ -229,7 +295,8 @@ def fit(df: DataFrame, text_col: str = "text", order: int = ORDER, share: float
 def score(df: DataFrame, model: dict, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    sent = {k: model[k] for k in ("order", "words", "end", "cache")}
+    shared = df.sparkSession.sparkContext.broadcast(sent)
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = model["total"] + model["distinct"] + 1
 
@@ -241,14 +308,17 @@ def score(df: DataFrame, model: dict, words: DataFrame, id_col: str = "doc_id",
         own, end = m["words"], m["end"]
         logs = {w: math.log10((n + 1) / size) for w, n in own.items()}
         end_log = math.log10((end + 1) / size)
-        of_gram = GramScores(m["trie"])
-        names = ["rid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"]
+        of_gram = GramScores(*m["cache"])
+        names = ["rid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare", "rest"]
         rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
         for batch in batches:
             for part in slices(batch, "text", STEP):
                 texts = texts_of(part, "text")
                 codes, lengths = grams(texts, m["order"])
-                byte_sums = np.add.reduceat(of_gram(codes), np.cumsum(lengths) - lengths)
+                byte_scores = of_gram(codes)
+                left = np.flatnonzero(np.isnan(byte_scores))
+                byte_scores[left] = 0.0
+                byte_sums = np.add.reduceat(byte_scores, np.cumsum(lengths) - lengths)
                 tokens, known, base, rare = [], [], [], []
                 for t in texts:
                     met = Counter(words_of(t))
@@ -263,6 +333,7 @@ def score(df: DataFrame, model: dict, words: DataFrame, id_col: str = "doc_id",
                     *[pa.array(v, pa.int64()) for v in (tokens, known)],
                     *[pa.array(v, pa.float64()) for v in (base, byte_sums)],
                     pa.array(rare, rare_kind),
+                    lacking(codes, lengths, left),
                 ]
                 number += len(texts)
                 yield pa.RecordBatch.from_arrays(values, names=names)
@@ -270,25 +341,33 @@ def score(df: DataFrame, model: dict, words: DataFrame, id_col: str = "doc_id",
     scored = rows.mapInArrow(
         run,
         f"rid long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, "
-        "rare array<struct<word:binary,times:long>>",
+        "rare array<struct<word:binary,times:long>>, rest array<struct<gram:long,times:long>>",
     )
     scored = written(scored, "scores")
     rare = scored.select("rid", F.explode("rare").alias("r")).select("rid", "r.word", "r.times")
-    rest = (
-        rare.join(words, "word", "left")
-        .groupBy("rid")
-        .agg(
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(size)))).alias("more"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        )
+    of_words = rare.join(words, "word", "left").select(
+        "rid",
+        (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(size)))).alias("more"),
+        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("more_known"),
+        F.lit(0.0).alias("more_bytes"),
+    )
+    rest = scored.select("rid", F.explode("rest").alias("r")).select("rid", "r.gram", "r.times")
+    scores = gram_scores(model["grams"], rest.select("gram").distinct(), model["short"], model["order"])
+    of_grams = rest.join(scores, "gram").select(
+        "rid",
+        F.lit(0.0).alias("more"),
+        F.lit(0).cast("long").alias("more_known"),
+        (F.col("times") * F.col("score")).alias("more_bytes"),
     )
+    sums = of_words.unionByName(of_grams).groupBy("rid")
+    rest = sums.agg(*[F.sum(c).alias(c) for c in ("more", "more_known", "more_bytes")])
     return scored.join(rest, "rid", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model["total"]).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_bytes", F.lit(0.0))).alias("score"),
     )
 
 

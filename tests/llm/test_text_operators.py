@@ -409,6 +409,19 @@ def test_lm_scores(spark, docs, edge, word_share):
             assert r["score"] == pytest.approx(brute_score(seen, t or "", 2), rel=1e-9)
 
 
+@pytest.mark.parametrize("share", [1e-3, 2.0])
+def test_lm_scores_use_all_grams_whatever_is_sent(spark, docs, share):
+    train = docs.where("doc_id % 5 = 0")
+    model, words = lm_score.fit(train, order=4, share=share)
+    assert len(model["cache"][0]) <= 1 / share
+    seen = brute_ppm([t or "" for _, t in texts(train)], 4)
+    some = docs.where("doc_id between 3 and 20 and length(text) < 4000")
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(some, model, words).collect()}
+    assert len(got) > 5
+    for i, t in texts(some):
+        assert got[int(i)] == pytest.approx(brute_score(seen, t or "", 4), rel=1e-9)
+
+
 def test_lm_model_is_a_distribution(spark, docs):
     model, _ = lm_score.fit(docs.where("doc_id < 100"), order=3, share=1e-4)
     for context in (b"the", b"qzx", bytes([lm_score.BEGIN]) * 3, b"e t"):
