@@ -409,6 +409,20 @@ def test_lm_scores(spark, docs, edge, word_share):
             assert r["score"] == pytest.approx(brute_score(seen, t or "", 2), rel=1e-9)
 
 
+def test_secrets_of_letters_only(spark, docs):
+    rng = np.random.default_rng(11)
+    letters = np.array(list(secret_scan.ALPHABET[:52]))
+    secrets = ["".join(rng.choice(letters, 32)) for _ in range(220)]
+    hidden = spark.createDataFrame([(900 + i, f"see {s} there") for i, s in enumerate(secrets[:20])], "doc_id long, text string")
+    model = secret_scan.train(secret_scan.identifier_samples(docs.select("doc_id", "text").unionByName(hidden)))
+    found = secret_scan.scan([f"a {s} b" for s in secrets], model)
+    assert sum(added == [(2, 34, "markov")] for _, added in found) >= 0.97 * len(secrets)
+    mixed = [s for s in secret_scan.random_strings(900, seed=23) if secret_scan.mixed(s)]
+    assert sum(bool(b or a) for b, a in secret_scan.scan(mixed, model)) >= 0.97 * len(mixed)
+    ordinary = ["x" * 40000, "/" * 60, "=" * 80, "-" * 30, "internationalization_of_ordinary_words", "some/path/to/ordinary/files"]
+    assert not any(added for _, added in secret_scan.scan(ordinary, model))
+
+
 @pytest.mark.parametrize("share", [1e-3, 2.0])
 def test_lm_scores_use_all_grams_whatever_is_sent(spark, docs, share):
     train = docs.where("doc_id % 5 = 0")
