@@ -157,7 +157,7 @@ def stars(block_of: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: int)
     group_of = np.repeat(np.arange(len(sizes)), sizes)
     cuts = np.searchsorted(np.cumsum(lanes_each), np.arange(LANES, lanes_each.sum() + LANES, LANES))
     at = 0
-    for cut in cuts.tolist():
+    for cut in [*cuts.tolist()[:-1], len(members)]:
         part = members[at : max(cut, at + 1)]
         at = max(cut, at + 1)
         if not len(part):

@@ -206,6 +206,15 @@ def test_links_in_a_hot_bucket(spark):
     assert all(len(v) == 1 for v in got.values()) and len(got) == len(groups)
 
 
+def test_last_member_of_a_full_step_is_compared():
+    side = np.repeat([0, 1], 1024)  # 1,024 queries over 32 words each make one step exactly
+    fps = np.random.default_rng(3).integers(0, 1 << 64, 2048, dtype=np.uint64)
+    fps[-1] = fps[0] ^ np.uint64(1)
+    assert (side.sum() * 2048 // 64) == simhash.LANES
+    member, root = simhash.stars(np.zeros(2048, np.int64), side, fps, 4)
+    assert member.tolist() == [fps[-1]] and root.tolist() == [fps[0]]
+
+
 def brute_pii(text):
     def luhn(d):
         return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
