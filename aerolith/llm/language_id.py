@@ -18,14 +18,15 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import add_columns
+from aerolith.llm.common import add_columns, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
+SALT = 17
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -166,18 +167,27 @@ def fit(
     windows_per_doc: int = 2,
     max_languages: int = 256,
 ) -> dict | None:
-    """Train on a bounded sample: about `docs_per_language` documents of each of the `max_languages` most
-    frequent languages, `windows_per_doc` windows spread over each. `learn` says which rows may be used."""
+    """Train on a bounded sample: `docs_per_language` distinct texts, or all if there are fewer, of each of the
+    `max_languages` most frequent languages, `windows_per_doc` windows spread over each. `learn` says which rows
+    may be used. The texts are those of the smallest hashes, the same ones in every run."""
     rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = rows.withColumn("h", F.xxhash64(F.lit(SALT), "text"))
+    hashes = written(rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")), "hashes")
+    sizes = hashes.groupBy("lang").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts"))
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
     if not sizes:
         return None
+    # more than are wanted, but not all, are ranked; of some 2n + 100 hashes by chance there are never fewer than n
     steps = 1 << 40
-    shares = [(r["lang"], int(min(1.0, docs_per_language / r["count"]) * steps)) for r in sizes]
+    shares = [(r["lang"], int(min(1.0, (2 * docs_per_language + 100) / r["texts"]) * steps)) for r in sizes]
     share = F.create_map(*[F.lit(v) for pair in shares for v in pair])
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < F.coalesce(F.try_element_at(share, "lang"), F.lit(0)))
+    place = F.pmod("h", F.lit(steps))
+    some = hashes.where(place < F.coalesce(F.try_element_at(share, "lang"), F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "h"))
+    picked = some.withColumn("rank", rank).where(F.col("rank") <= docs_per_language).select("lang", "h")
+    sample = rows.join(F.broadcast(picked), ["lang", "h"])
 
     def make():
         def compute(texts):
@@ -190,7 +200,8 @@ def fit(
 
         return compute
 
-    got = add_columns(sample, "text", [("cuts", "array<binary>")], make).select("lang", F.explode("cuts").alias("cut"))
+    cut = add_columns(sample, "text", [("cuts", "array<binary>")], make).select("lang", "h", "cuts")
+    got = cut.dropDuplicates(["lang", "h"]).select("lang", F.explode("cuts").alias("cut"))
     pairs = sorted((r["lang"], bytes(r["cut"])) for r in got.collect())
     labels = sorted({lang for lang, _ in pairs})
     if not labels:

@@ -122,6 +122,14 @@ def test_language_id(spark, docs, edge):
     assert x.shape == (3, 256) and owner.tolist() == [0, 0, 2] and weight.tolist() == [256, 44, 1]
 
 
+def test_language_of_one_copied_text_is_learned(spark):
+    rows = [(f"dies ist der satz nummer {i} eines textes", "de") for i in range(40)]
+    rows += [(f"words of copy {k} only", f"x{k}") for k in range(12) for _ in range(30)]
+    made = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.fit(made, F.lit(True), docs_per_language=5)
+    assert sorted(model["labels"]) == sorted({lang for _, lang in rows})
+
+
 def brute_top(vectors, k=20):
     out = []
     for q, v in vectors.items():
