@@ -88,6 +88,20 @@ def add_columns(
     return base.mapInArrow(run, schema)
 
 
+def kept_in_worker(key: tuple, make: Callable[[], object]) -> object:
+    """make()'s result, made once in each Python worker process and kept for its later tasks.
+
+    Functions travel with their code, so globals of a module do not outlive a task; an entry of sys.modules does.
+    """
+    import sys
+    from types import ModuleType
+
+    held = sys.modules.setdefault("_kept_in_worker", ModuleType("_kept_in_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10: each operator over its whole table, with production parameters."""
+"""The registered queries op1 to op13: each operator over its whole table, with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import (
+    best_fit_packing,
+    conversation_repair,
     decontamination,
+    hard_negatives,
     language_id,
     lm_score,
     pii,
@@ -152,3 +155,44 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, words = lm_score.fit(docs.where(learnable("doc_id", 7, 2)))
     scored = lm_score.score(docs, model, words)
     return scored.select("doc_id", remainder_is("doc_id", 7, 2).alias("held_out"), *scored.columns[1:])
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.reports(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+OP12_SQL = """
+with v as (
+    select row_number() over () as rid, vec_id, [floor(256 * x::double) for x in embedding] as q,
+        case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (
+    select a.rid as anchor, a.vec_id as anchor_id, b.rid as other, b.vec_id, a.label = b.label as same,
+        cast(list_inner_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id % 100 = 0 and a.rid <> b.rid),
+positives as (
+    select *, row_number() over (partition by anchor order by score desc, vec_id) as turn from pairs where same),
+found as (
+    select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score,
+        n.score as negative_score,
+        cast(row_number() over (partition by p.anchor, p.other order by n.score desc, n.vec_id) as integer) as rank
+    from positives p join pairs n on p.anchor = n.anchor and p.turn <= 5 and not n.same
+        and 80 * p.score <= 100 * n.score and n.score <= p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from found where rank <= 5
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+@query("op13_best_fit_packing")
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = best_fit_packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return made.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
