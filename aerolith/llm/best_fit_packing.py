@@ -37,11 +37,12 @@ from aerolith.llm.common import kept_in_worker, slices, texts_of, written
 LENGTH = 2048
 OPEN = 1024
 SHARE = 1 << 24
-PORTION = 1 << 18
+PORTION = 1 << 16
 SEAM = re.compile(r"[ \n\t](?=[A-Za-z0-9])")
 CAPITALS = string.ascii_uppercase + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
 SIMPLER = str.maketrans("\n\t\r" + CAPITALS, "   " + CAPITALS.lower())  # as the vocabulary's own first steps do
 STOPS = string.punctuation.replace("'", "")
+LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")  # each such word is a word to the library
 KEPT = 400_000
 SHORT = 48
 
@@ -74,31 +75,71 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, the end id included, as little-endian 32-bit integers."""
-        return [b"".join([*map(self.portion, portions(t)), bytes(4)]) for t in texts]
-
-    def portion(self, text: str) -> bytes:
-        words = text.translate(SIMPLER).split(" ")
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            return b"".join(list(map(self.word, words)))
-
-    def word(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is not None:
-            return found
-        found = self.older.get(word)
-        if found is None:
+        whole: list[list[bytes]] = [[] for _ in texts]
+        group, size = [], 0
+        for k, text in enumerate(texts):
+            for part in portions(text):
+                group.append((k, part))
+                size += len(part)
+                if size > 4 * PORTION:
+                    self.encode_group(group, whole)
+                    group, size = [], 0
+        self.encode_group(group, whole)
+        return [b"".join([*parts, bytes(4)]) for parts in whole]
+
+    def encode_group(self, group: list[tuple[int, str]], whole: list[list[bytes]]) -> None:
+        """Encode portions and add their ids to those of their texts."""
+        split = [part.translate(SIMPLER).split(" ") for _, part in group]
+        missing = set().union(*split).difference(self.known)
+        if len(self.known) > KEPT:  # what is not met again before the next change is forgotten
+            self.known, self.older = {"": b""}, self.known
+            missing = set().union(*split).difference(self.known)
+        rare = self.learn(missing)
+        look = self.known.__getitem__
+        if rare:
+            look = {**{w: self.known[w] for words in split for w in words if w not in rare}, **rare}.__getitem__
+        for (k, _), words in zip(group, split):
+            whole[k].append(b"".join(map(look, words)))
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Add words to the table; the ids of very long ones are returned instead."""
+        known, stems, rare, plain = self.known, {}, {}, []
+        for word in words:
+            if word in self.older:
+                known[word] = self.older[word]
+                continue
             stem = word.rstrip(STOPS)
             if stem and stem != word and stem[-1].isalnum():  # marks after a letter or digit are words of their own
-                found = self.word(stem) + self.word(word[len(stem) :])
+                stems[word] = stem, word[len(stem) :]
+        needed = {part for pair in stems.values() for part in pair}.union(words).difference(known, stems)
+        for word in needed:
+            if word in self.older:
+                known[word] = self.older[word]
+            elif len(word) <= SHORT and LETTERS.fullmatch(word):
+                plain.append(word)
             else:
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) <= SHORT:
-            if len(self.known) > KEPT:  # what is not met again before the next change is forgotten
-                self.known, self.older = {"": b""}, self.known
-            self.known[word] = found
-        return found
+                (known if len(word) <= SHORT else rare)[word] = self.one(word)
+        self.learn_letters(plain)
+        for word, pair in stems.items():
+            ids = b"".join(known[part] if part in known else rare[part] for part in pair)
+            (known if len(word) <= SHORT else rare)[word] = ids
+        return rare
+
+    def learn_letters(self, words: list[str]) -> None:
+        """Encode words of letters in one call; the library numbers the words that its tokens belong to."""
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, number = np.array(made.ids, dtype="<u4"), np.array(made.word_ids)
+            cuts = np.searchsorted(number, np.arange(len(some) + 1))
+            if cuts[0] or cuts[-1] != len(ids) or not np.diff(cuts).all():
+                self.known.update((w, self.one(w)) for w in some)
+                continue
+            raw, ends = ids.tobytes(), (4 * cuts).tolist()
+            self.known.update(zip(some, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+
+    def one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 def cut_documents(

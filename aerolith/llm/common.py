@@ -64,11 +64,12 @@ def add_columns(
 
     make() is called once in each task and returns a function from a list of
     texts to one list (or Arrow array) per field. A column of df with the name
-    of a field is replaced.
+    of a field, in any case, is replaced.
     """
     names = [n for n, _ in fields]
-    base = df.drop(*[n for n in names if n in df.columns and n != text_col])
-    kept = [f for f in base.schema.fields if f.name not in names]
+    lower = {n.lower() for n in names}
+    base = df.select(*[c for c in df.columns if c.lower() not in lower or c == text_col])
+    kept = [f for f in base.schema.fields if f.name.lower() not in lower]
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept])
     for f in T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields)).fields:
         schema = schema.add(f)
@@ -88,6 +89,19 @@ def add_columns(
     return base.mapInArrow(run, schema)
 
 
+def unused_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that df does not use, whatever the case; each begins with an underscore and the wanted name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def kept_in_worker(key: tuple, make: Callable[[], object]) -> object:
     """make()'s result, made once in each Python worker process and kept for its later tasks.
 

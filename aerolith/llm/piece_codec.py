@@ -10,9 +10,10 @@ punctuation mark after a letter (which pieces do is read from the vocabulary),
 so such places are never merged over and a text falls into chunks. Distinct
 chunks are encoded once and kept in a bounded table.
 
-In every Arrow batch the chunks met for the first time are encoded by the
-sentencepiece library as well. A difference counts in `n_differing`, and the
-library's ids are the ones that are used.
+The ids are those of the agenda. In every Arrow batch the chunks met for the first
+time are encoded by the sentencepiece library as well, and so is one whole text in
+sixty-four. `n_differing` counts a text's chunks that differ, and one more if the
+whole text does. A codec and its table serve all tasks of a worker process.
 
 Null counts as empty: begin and end ids only. Repeated rows are encoded each for
 itself. Texts have no length limit. An empty table gives no rows.
@@ -24,15 +25,19 @@ import hashlib
 import heapq
 import re
 import string
+import zlib
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerolith.llm.common import add_columns
+from aerolith.llm.common import add_columns, kept_in_worker
 
 MARK = "▁"
-KEPT = 60_000
+KEPT = 250_000
+LOOKED_AT = 64
 SHORT = 24
 NEVER = 1 << 40
 
@@ -40,10 +45,10 @@ NEVER = 1 << 40
 class Codec:
     """A merge vocabulary with identity normalisation, a leading space mark and byte pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, model: bytes):
         import sentencepiece
 
-        sp = self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        sp = self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = sp.get_piece_size()
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i) for i in range(size)]
         self.pieces = [sp.id_to_piece(i) for i in range(size)]
@@ -58,7 +63,7 @@ class Codec:
         self.chunk = self.boundaries()
         self.known: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
-        self.differing = 0
+        self.wrong: set[str] = set()
 
     def boundaries(self) -> re.Pattern:
         """The chunk pattern that this vocabulary allows, over texts with plain spaces."""
@@ -157,24 +162,34 @@ class Codec:
             elif chunk[0] != " ":
                 theirs = theirs[len(lone) :]
             if mine != theirs:
-                self.differing += 1
-            self.known[chunk] = (np.array(theirs, dtype="<u4").tobytes(), self.unmerge(theirs))
+                self.wrong.add(chunk)
+            self.known[chunk] = (packed(mine), self.unmerge(mine))
 
-    def encode_batch(self, texts: list[str]) -> list[list[str]]:
-        """Chunks of each text; all of them are in `known` afterwards."""
+    def encode_batch(self, texts: list[str]) -> Iterator[tuple[bytes, str, int]]:
+        """(ids as little-endian 32-bit integers, decoded text, number of differences) of each text."""
         split = [self.chunk.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         if len(self.known) > KEPT:  # what is not met again before the next change is forgotten
             self.known, self.older = {}, self.known
         new = []
-        for c in set().union(*split):
-            if c not in self.known:
-                if c in self.older:
-                    self.known[c] = self.older[c]
-                else:
-                    new.append(c)
+        for c in set().union(*split).difference(self.known):
+            if c in self.older:
+                self.known[c] = self.older[c]
+            else:
+                new.append(c)
         for at in range(0, len(new), 20_000):
             self.learn(new[at : at + 20_000])
-        return split
+        look = self.known.__getitem__
+        for text, chunks in zip(texts, split):
+            found = list(map(look, chunks))
+            raw = b"".join([self.begin, *[f[0] for f in found], self.end])
+            differing = sum(c in self.wrong for c in chunks) if self.wrong else 0
+            if text and zlib.crc32(raw) % LOOKED_AT == 0:
+                differing += raw != packed([self.bos, *self.library.encode(text), self.eos])
+            yield raw, "".join([f[1] for f in found])[1:], differing
+
+
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 def as_text(raw: bytes) -> str:
@@ -196,45 +211,47 @@ def encoded(df: DataFrame, path: str, text_col: str = "text", with_text: bool =
     """df with ids (array), n_tokens, n_differing and, if asked for, the decoded text."""
     fields = [("ids", "array<int>"), ("n_tokens", "long"), ("n_differing", "long")]
 
+    make_codec = shared_codec(df, path)
+
     def make():
-        codec = Codec(path)
+        codec = make_codec()
 
         def compute(texts):
-            raw, counts, differing, decoded = [], [], [], []
-            at_start = codec.differing
-            for chunks in codec.encode_batch(texts):
-                found = [codec.known[c] for c in chunks]
-                raw.append(b"".join([codec.begin, *[f[0] for f in found], codec.end]))
-                counts.append(len(raw[-1]) // 4)
-                differing.append(codec.differing - at_start)
-                if with_text:
-                    decoded.append("".join([f[1] for f in found])[1:])
+            made = list(codec.encode_batch(texts))
+            counts = [len(raw) // 4 for raw, _, _ in made]
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(raw), "<i4"))
-            return [ids, counts, differing, decoded][: 4 if with_text else 3]
+            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join([raw for raw, _, _ in made]), "<i4"))
+            columns = [ids, counts, [wrong for _, _, wrong in made], [text for _, text, _ in made]]
+            return columns[: 4 if with_text else 3]
 
         return compute
 
     return add_columns(df, text_col, fields + [("decoded", "string")] * with_text, make)
 
 
+def shared_codec(df: DataFrame, path: str) -> Callable[[], Codec]:
+    """A function that gives the worker process's codec; the vocabulary file (a fixed one) is sent from the driver."""
+    with open(path, "rb") as file:
+        sent = df.sparkSession.sparkContext.broadcast(file.read())
+    return lambda: kept_in_worker(("pieces", path), lambda: Codec(sent.value))
+
+
 def digests(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """df with n_tokens, ids_sha256, decoded_sha256 and n_differing, without keeping ids or texts."""
     fields = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string"), ("n_differing", "long")]
 
+    make_codec = shared_codec(df, path)
+
     def make():
-        codec = Codec(path)
+        codec = make_codec()
 
         def compute(texts):
             counts, ids, decoded, differing = [], [], [], []
-            at_start = codec.differing
-            for chunks in codec.encode_batch(texts):
-                found = [codec.known[c] for c in chunks]
-                raw = b"".join([codec.begin, *[f[0] for f in found], codec.end])
+            for raw, text, wrong in codec.encode_batch(texts):
                 counts.append(len(raw) // 4)
                 ids.append(hashlib.sha256(raw).hexdigest())
-                decoded.append(hashlib.sha256("".join([f[1] for f in found])[1:].encode("utf-8")).hexdigest())
-                differing.append(codec.differing - at_start)
+                decoded.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
+                differing.append(wrong)
             return [counts, ids, decoded, differing]
 
         return compute

@@ -1,7 +1,9 @@
 """The pipeline stage by stage against plain versions, and the registry."""
 
+import random
+
 import corpus_pipeline
-from aerolith.llm import decontamination, pii, simhash
+from aerolith.llm import decontamination, near_copies, pii
 from aerolith.llm.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -16,11 +18,12 @@ def test_stages_decide_on_what_the_one_before_kept(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert after.keys() <= before.keys() and len(after) > 0.7 * len(before)
         if name == "simhash":
-            prints = {i: simhash.fingerprint(t or "") for i, t in before.items()}
-            kept = [prints[i] for i in after]
-            assert all((a ^ b).bit_count() > 4 for k, a in enumerate(kept) for b in kept[:k])
-            assert all(any((p ^ q).bit_count() <= 4 for q in prints.values() if q != p) or list(prints.values()).count(p) > 1
-                       for i, p in prints.items() if i not in after)
+            sets = {i: near_copies.shingles(t or "") for i, t in before.items()}
+            pairs = [(a, b) for a in sets for b in sets if a < b and near_copies.similarity(sets[a], sets[b]) >= 0.8]
+            missed = [(a, b) for a, b in pairs if a in after and b in after]
+            assert len(missed) <= 0.1 * len(pairs)
+            linked = {i for pair in pairs for i in pair}
+            assert before.keys() - after.keys() <= linked
         if name == "decontaminate":
             bench = spark.read.parquet(f"{SF}/benchmark.parquet")
             assert decontamination.contained_items(docs, bench).count() == 0
@@ -38,3 +41,43 @@ def test_pipeline_runs_through(spark):
 def test_all_operators_and_no_unknown_sql():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
     assert numbers == set(range(1, 14)) and ORACLES.keys() <= QUERIES.keys()
+
+
+def test_near_copies_are_found_and_clean_documents_stay(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(3000)]
+    rows, planted = [], []
+    for i in range(300):
+        parts = rng.choices(words, k=rng.randint(80, 400))
+        rows.append((i, " ".join(parts)))
+        for k in range(1, 5):
+            copy = list(parts)
+            for at in rng.sample(range(len(parts)), k):
+                copy[at] = rng.choice(words)
+            rows.append((1000 * k + i, " ".join(copy)))
+            a, b = (near_copies.shingles(" ".join(x)) for x in (parts, copy))
+            if near_copies.similarity(a, b) >= 0.8:
+                planted.append(1000 * k + i)
+    often = " ".join(rng.choices(words, k=90))
+    rows += [(9000 + k, f"{often} and {k}") for k in range(400)]  # a group of near copies
+    rows += [(None, None), (9990, ""), (9991, " \n"), (9992, "short text"), (9992, "Short  text"), (None, "no id")]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, _row int, _ID string")
+    kept = near_copies.keep_one(df)
+    assert kept.columns == df.columns
+    left = [r["doc_id"] for r in kept.collect()]
+    assert set(range(300)) <= set(left) and len(planted) > 900
+    assert sum(i in left for i in planted) <= 0.1 * len(planted)
+    assert sum(i is not None and 9000 <= i < 9990 for i in left) == 1
+    assert left.count(9990) == 1 and left.count(9991) == 0 and left.count(9992) == 1 and left.count(None) == 1
+    assert near_copies.keep_one(df.where("false")).count() == 0
+
+
+def test_narrow_naming_still_checks_all_pairs(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(base[:k] + [f"other{k}{j}" for j in range(9)] + base[k + 9 :])) for k in range(0, 50, 3)]
+    rows += [(100 + k, t + " end") for k, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: near_copies.shingles(t) for i, t in rows}
+    assert all((near_copies.similarity(sets[a], sets[b]) >= 0.8) == (b == 100 + a) for a in sets for b in sets if a < b)
+    kept = {r["doc_id"] for r in near_copies.keep_one(df, radius=40).collect()}
+    assert kept == {i for i in sets if i < 100}

@@ -246,10 +246,10 @@ def test_packing_of_documents(spark):
 
 
 def test_packing_edges(spark):
-    texts = [None, "", " \n\t", "a", "a", "Don't STOP... now!?", "é é  x y ÀÉÎ İ ΑΣ <|endoftext|>", "x" * 5000, "lorem ipsum, dolor\r\n" * 30000]
+    texts = [None, "", " \n\t", "a", "a", "Don't STOP... now!?", "é é  x y ÀÉÎ İ ΑΣ <|endoftext|>", "x" * 5000, "lorem ipsum, dolor\r\n" * 4000]
     rows = [(None if k == 3 else k, t, "s", 1) for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, length int")
-    for options in ({}, {"length": 5, "most": 2, "share": 64}):
+    for options in ({}, {"length": 5, "most": 2, "share": 4000}):
         made = best_fit_packing.pack(df, WORDS, with_ids=True, **options)
         found = made.collect()
         check_packing(found, [r[:2] for r in rows], options.get("length", 2048))

@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -280,9 +281,17 @@ def test_piece_codec(spark, docs, edge):
             assert short[i, t]["ids_sha256"] == digest
             assert short[i, t]["decoded_sha256"] == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
     assert piece_codec.digests(empty(spark), PIECES).count() == 0
-    codec = piece_codec.Codec(PIECES)
+    codec = piece_codec.Codec(Path(PIECES).read_bytes())
     for text in ("interesting", "▁▁▁▁▁a", "тест", "𝄞𝄞"):
         assert codec.merged_short(list(text)) == codec.merged_long(list(text))
+    some = [t for _, t in texts(docs) if t][:70]
+    good = list(codec.encode_batch(some))
+    broken = piece_codec.Codec(Path(PIECES).read_bytes())
+    broken.order = {p: -k for p, k in broken.order.items()}  # merges the worst pair first
+    for (raw, text, wrong), (other, decoded, differing) in zip(good, broken.encode_batch(some)):
+        assert wrong == 0 and text == decoded
+        assert (differing > 0) == (raw != other)
+    assert broken.wrong
 
 
 def test_toxicity(spark, edge):
