@@ -15,7 +15,6 @@ further columns are not read.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +26,10 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 SALT = 17
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +150,7 @@ def predict(model: dict | None, texts: list[str]) -> tuple[list[str], list[float
     total = np.bincount(owner, weights=weight, minlength=len(texts))
     labels, scores = [], []
     for k, text in enumerate(texts):
-        if LETTER.search(text) and total[k]:
+        if has_letter(text) and total[k]:
             best = int(sums[k].argmax())
             labels.append(model["labels"][best])
             scores.append(float(min(1.0, max(0.0, sums[k, best] / total[k]))))
@@ -165,20 +167,22 @@ def fit(
     lang_col: str = "lang",
     docs_per_language: int = 700,
     windows_per_doc: int = 2,
-    max_languages: int = 256,
+    max_docs: int = 180_000,
 ) -> dict | None:
-    """Train on a bounded sample: `docs_per_language` distinct texts, or all if there are fewer, of each of the
-    `max_languages` most frequent languages, `windows_per_doc` windows spread over each. `learn` says which rows
-    may be used. The texts are those of the smallest hashes, the same ones in every run."""
+    """Train on a bounded sample: `docs_per_language` distinct texts of every language, or all if there are fewer,
+    `windows_per_doc` windows spread over each. Where languages are so many that this passes `max_docs` texts,
+    each gives as many fewer, one at least. `learn` says which rows may be used. The texts are those of the
+    smallest hashes, the same ones in every run."""
     rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
     rows = rows.withColumn("h", F.xxhash64(F.lit(SALT), "text"))
-    hashes = written(rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")), "hashes")
-    sizes = hashes.groupBy("lang").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts"))
-    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
+    hashes = written(rows.select("lang", "h").distinct(), "hashes")
+    sizes = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    sizes = sizes.orderBy("lang").collect()  # one row per language
     if not sizes:
         return None
+    docs_per_language = max(1, min(docs_per_language, max_docs // len(sizes)))
     # more than are wanted, but not all, are ranked; of some 2n + 100 hashes by chance there are never fewer than n
     steps = 1 << 40
     shares = [(r["lang"], int(min(1.0, (2 * docs_per_language + 100) / r["texts"]) * steps)) for r in sizes]
@@ -193,7 +197,7 @@ def fit(
         def compute(texts):
             out = []
             for text in texts:
-                x = windows([text])[0] if LETTER.search(text) else np.zeros((0, WINDOW), np.uint8)
+                x = windows([text])[0] if has_letter(text) else np.zeros((0, WINDOW), np.uint8)
                 take = np.unique(np.linspace(0, len(x) - 1, windows_per_doc).astype(int)) if len(x) else []
                 out.append([x[i].tobytes() for i in take])
             return [out]

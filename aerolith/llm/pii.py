@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.llm.common import unused_names
+
 NEAR = 40
 ALNUM = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -176,18 +178,17 @@ def spans_of(kind: Kind, text: Column, found: Column) -> Column:
 
 def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii_spans") -> DataFrame:
     """df with an array of (kind, start, end, percent), by kind as listed, then start."""
-    own = [n for n in df.columns if n != out or n == text_col]
+    own = [n for n in df.columns if n.lower() != out.lower() or n == text_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    step = df.select(*own)
-    matches = {f"_m_{k.name}": F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)) for k in KINDS}
-    step = step.select(*own, *[m.alias(n) for n, m in matches.items()])
-    pieces = [
-        F.when(F.size(f"_m_{k.name}") > 0, F.split(text, k.pattern, -1)).alias(f"_p_{k.name}") for k in KINDS
-    ]
-    step = step.select(*own, *matches, *pieces)
-    found = [placed(F.col(f"_m_{k.name}"), F.col(f"_p_{k.name}")).alias(f"_f_{k.name}") for k in KINDS]
+    names = unused_names(df, *[f"{what}_{k.name}" for what in ("m", "p", "f") for k in KINDS])
+    match, piece, place = (names[at : at + len(KINDS)] for at in range(0, len(names), len(KINDS)))
+    matches = [F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)).alias(m) for k, m in zip(KINDS, match)]
+    step = df.select(*own, *matches)
+    pieces = [F.when(F.size(m) > 0, F.split(text, k.pattern, -1)).alias(p) for k, m, p in zip(KINDS, match, piece)]
+    step = step.select(*own, *match, *pieces)
+    found = [placed(F.col(m), F.col(p)).alias(f) for m, p, f in zip(match, piece, place)]
     step = step.select(*own, *found)
-    spans = [spans_of(k, text, F.col(f"_f_{k.name}")) for k in KINDS]
+    spans = [spans_of(k, text, F.col(f)) for k, f in zip(KINDS, place)]
     return step.select(*own, F.concat(*spans).alias(out))
 
 
@@ -216,11 +217,12 @@ def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     A null text stays null.
     """
-    marked = find_pii(df, text_col, "_pii")
+    (spans,) = unused_names(df, "pii")
+    marked = find_pii(df, text_col, spans)
     text = F.col(text_col)
     state = "struct<at:int,out:array<string>>"
     order = F.array_sort(
-        F.transform("_pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
     cut = F.aggregate(
         order,
@@ -244,5 +246,5 @@ def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
             F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))
         ),
     )
-    fresh = F.when(F.size("_pii") == 0, text).otherwise(cut)
+    fresh = F.when(F.size(spans) == 0, text).otherwise(cut)
     return marked.select(*[fresh.alias(text_col) if n == text_col else F.col(n) for n in df.columns])

@@ -60,16 +60,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 with v as (
-    select vec_id, min(q) as q from (
-        select vec_id, [floor(64 * x::double) for x in embedding] as q from embeddings
-        where vec_id is not null and embedding is not null
-          and len([x for x in embedding if x is null or not isfinite(x)]) = 0)
-    group by vec_id),
+    select row_number() over () as rid, vec_id, [floor(64 * x::double) for x in embedding] as q from embeddings
+    where vec_id is not null and embedding is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
 scored as (
-    select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
-    from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+    select a.rid, a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id % 20 = 0 and a.rid <> b.rid),
 ranked as (
-    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+    select *, cast(row_number() over (partition by rid order by score desc, vec_id) as integer) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 

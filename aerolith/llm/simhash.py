@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import add_columns, written
+from aerolith.llm.common import add_columns, unused_names, written
 
 SEED = 42
 WORDS = 4
@@ -306,14 +306,15 @@ def digest(found: DataFrame) -> DataFrame:
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
     """One row of each component: that with the smallest id (null ids come last, repeated ids keep one row)."""
+    own_id, own_fp, own_root, n, fp = unused_names(df, "id", "fp", "root", "n", "fp_of_row")
     found = near_duplicates(df, id_col, text_col, radius)
     head = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    heads = found.where(head).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root"))
+    heads = found.where(head).groupBy(F.col("root").alias(own_root), F.col("doc_id").alias(own_id))
     # usually one row each; a repeated id leaves several, of which one is kept below
-    heads = written(heads.groupBy("_root", "_id").agg(F.min("_fp").alias("_fp"), F.count(F.lit(1)).alias("_n")), "heads")
-    rows = fingerprints(df, text_col, "_fp_of_row").join(
-        heads, (F.col(id_col).eqNullSafe(F.col("_id"))) & (F.col("_fp_of_row") == F.col("_fp")), "inner"
+    heads = written(heads.agg(F.min("fp").alias(own_fp), F.count(F.lit(1)).alias(n)), "heads")
+    rows = fingerprints(df, text_col, fp).join(
+        heads, (F.col(id_col).eqNullSafe(F.col(own_id))) & (F.col(fp) == F.col(own_fp)), "inner"
     )
-    single = rows.where("_n = 1").select(*df.columns)
-    several = rows.where("_n > 1").dropDuplicates(["_root"]).select(*df.columns)
+    single = rows.where(F.col(n) == 1).select(*df.columns)
+    several = rows.where(F.col(n) > 1).dropDuplicates([own_root]).select(*df.columns)
     return single.unionByName(several)

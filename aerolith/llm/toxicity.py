@@ -298,6 +298,8 @@ def fit(
 ) -> dict:
     """Train on at most `per_class` labelled texts of each class, those of up to `max_chars` characters.
 
+    An id with several texts gives the least of them in byte order.
+
     `learn_from` is a condition on the column doc_id that says which labels may be used.
     """
     rows = labels.select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -315,7 +317,8 @@ def fit(
         picked = part if picked is None else picked.unionByName(part)
     texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.where(F.length("text") <= max_chars)
-    sample = texts.join(F.broadcast(picked), "doc_id")  # 2 * per_class rows at most
+    labelled = texts.join(F.broadcast(picked), "doc_id")
+    sample = labelled.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one text per id: 2 * per_class rows at most
     bags = add_columns(sample, "text", [("units", "array<string>")], lambda: lambda ts: [[sorted(units_of(t)) for t in ts]])
     found = sorted((r["toxic"], r["doc_id"], r["units"]) for r in bags.select("toxic", "doc_id", "units").collect())
     toxic, clean = [[u for t, _, u in found if t == label and u] for label in (1, 0)]

@@ -119,10 +119,51 @@ def test_language_id(spark, docs, edge):
     assert got[:4] == ["und"] * 4 and "und" not in got[4:]
     assert language_id.fit(edge.where("doc_id is not null"), F.lit(True)) is None
     assert {r["lang_pred"] for r in language_id.identify(edge, None).collect()} == {"und"}
+    signs = ["²³ ½ Ⅷ ①", "12 _ -- !", "x²"]
+    assert [language_id.has_letter(t) for t in signs] == [False, False, True]
     x, owner, weight = language_id.windows(["a" * 300, "", "b"])
     assert x.shape == (3, 256) and owner.tolist() == [0, 0, 2] and weight.tolist() == [256, 44, 1]
 
 
+def plain_network(model, window):
+    """Class probabilities of one window by a plain convolution of every filter at every place."""
+    pooled = []
+    for w in language_id.WIDTHS:
+        kernel = model[f"w{w}"].astype(np.float64)
+        places = [sum(kernel[d, window[p + d]] for d in range(w)) + model[f"b{w}"] for p in range(len(window) - w + 1)]
+        pooled.append(np.maximum(np.max(places, axis=0), 0))
+    z = np.concatenate(pooled) @ model["dense"] + model["bias"]
+    return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+
+def test_language_network_equals_plain_convolution(spark, docs):
+    model = language_id.fit(docs, F.lit(True), docs_per_language=20)
+    x, _, _ = language_id.windows([t for _, t in texts(docs) if t][:6] + ["é", "日本"])
+    found = language_id.probabilities(model, x[:12])
+    assert np.allclose(found, [plain_network(model, row) for row in x[:12]], atol=1e-4)
+
+
+def test_more_languages_than_one_byte(spark):
+    rows = [(f"{'abcdefghij'[k % 10] * 9} {k} words of it {j}", f"l{k}") for k in range(300) for j in range(2)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"), F.lit(True), max_docs=300)
+    assert len(model["labels"]) == 300
+
+
+def test_columns_with_working_names_stay(spark):
+    df = spark.createDataFrame(
+        [(1, "write to a.b@example.com now", "p", "q", "r", 2)],
+        "doc_id long, text string, _pii string, _m_email string, Pii_Spans string, _id int",
+    )
+    red = pii.redacted(df)
+    assert red.columns == df.columns and red.first()[2:] == df.first()[2:] and "[EMAIL]" in red.first()["text"]
+    found = pii.find_pii(df)
+    assert found.columns == ["doc_id", "text", "_pii", "_m_email", "_id", "pii_spans"]
+    assert simhash.keep_one(df).collect() == df.collect()
+    model = toxicity.fit(df, df.select("doc_id", F.lit(1).alias("toxic")), F.lit(True))
+    scored = toxicity.score_texts(df.withColumn("Score", F.lit("x")), model)
+    assert scored.columns == [*df.columns, "score"] and scored.count() == 1
+
+
 def test_language_of_one_copied_text_is_learned(spark):
     rows = [(f"dies ist der satz nummer {i} eines textes", "de") for i in range(40)]
     rows += [(f"words of copy {k} only", f"x{k}") for k in range(12) for _ in range(30)]
@@ -131,11 +172,15 @@ def test_language_of_one_copied_text_is_learned(spark):
     assert sorted(model["labels"]) == sorted({lang for _, lang in rows})
 
 
-def brute_top(vectors, k=20):
+def brute_top(rows, k=20):
+    """Every row is an item; a query leaves out its own row only."""
     out = []
-    for q, v in vectors.items():
+    for at, (q, v) in enumerate(rows):
         if q % 20 == 0:
-            scores = [(-sum(a * b for a, b in itertools.zip_longest(v, w, fillvalue=0)), i) for i, w in vectors.items() if i != q]
+            scores = [
+                (-sum(a * b for a, b in itertools.zip_longest(v, w, fillvalue=0)), i)
+                for other, (i, w) in enumerate(rows) if other != at
+            ]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
     return sorted(out)
 
@@ -144,21 +189,21 @@ def test_topk_search(spark):
     rng = random.Random(4)
     rows = [(i, [rng.choice([0.0, 0.1, -0.3, 0.5]) for _ in range(4)]) for i in range(130)]
     rows += [(200, None), (220, [0.1, None, 0.2]), (240, [0.1, float("nan")]), (260, [float("inf")]), (None, [0.5] * 4)]
-    rows += [(40, rows[40][1]), (300, []), (320, [0.5] * 6)]
+    rows += [(40, rows[40][1]), (40, [0.5] * 4), (60, [-0.3] * 4), (7, [0.5] * 4), (7, [0.5] * 4), (300, []), (320, [0.5] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     got = topk_search.top_k(df, F.col("vec_id") % 20 == 0)
-    vectors = {
-        i: [math.floor(64 * float(np.float32(x))) for x in v]
+    vectors = [
+        (i, [math.floor(64 * float(np.float32(x))) for x in v])
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
-    }
+    ]
     assert sorted(map(tuple, got.collect())) == brute_top(vectors)
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
-    blocks = [(np.arange(i, i + 30), np.array([vectors[j] for j in range(i, i + 30)], np.int64)) for i in (0, 30, 60, 90)]
+    by_id = [v for _, v in vectors[:120]]
+    blocks = [(np.arange(i, i + 30), np.arange(i, i + 30), np.array(by_id[i : i + 30], np.int64)) for i in (0, 30, 60, 90)]
     ids = np.array([0, 20])
-    who, found, score = topk_search.search_blocks(ids, np.array([vectors[0], vectors[20]], np.int64), blocks, 5)
-    small = {i: vectors[i] for i in range(120)}
-    want = [(q, i, s) for q, r, i, s in brute_top(small, 5) if q in (0, 20)]
+    who, found, score = topk_search.search_blocks(ids, np.array([by_id[0], by_id[20]], np.int64), blocks, 5)
+    want = [(q, i, s) for q, r, i, s in brute_top(vectors[:120], 5) if q in (0, 20)]
     assert sorted(zip(ids[who].tolist(), found.tolist(), score.tolist())) == sorted(want)
 
 
@@ -294,6 +339,20 @@ def test_piece_codec(spark, docs, edge):
     assert broken.wrong
 
 
+def test_toxicity_takes_one_text_per_id(spark):
+    rows = [(1, f"copy {k} of a bad blorgface") for k in range(300)] + [(2, "a fine text"), (3, "another fine one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.train
+    try:
+        toxicity.train = lambda toxic, clean, rate: seen.append((len(toxic), len(clean))) or real(toxic, clean, rate)
+        toxicity.fit(df, labels, F.lit(True))
+    finally:
+        toxicity.train = real
+    assert seen == [(1, 2)]
+
+
 def test_toxicity(spark, edge):
     rng = random.Random(2)
     syllables = ["ta", "ren", "o", "li", "sk", "mar", "ve", "un", "dor", "pe"]
