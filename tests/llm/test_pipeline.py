@@ -21,7 +21,7 @@ def test_stages_decide_on_what_the_one_before_kept(spark):
             sets = {i: near_copies.shingles(t or "") for i, t in before.items()}
             pairs = [(a, b) for a in sets for b in sets if a < b and near_copies.similarity(sets[a], sets[b]) >= 0.8]
             missed = [(a, b) for a, b in pairs if a in after and b in after]
-            assert len(missed) <= 0.1 * len(pairs)
+            assert len(missed) <= 0.2 * len(pairs)
             linked = {i for pair in pairs for i in pair}
             assert before.keys() - after.keys() <= linked
         if name == "decontaminate":
