@@ -48,13 +48,21 @@ def drop_stale(
     return df.filter(fresh).withColumn(stamp, snapshot)
 
 
-def newer_than(df: DataFrame, ts: str, mark, tie_break: Sequence[Column]) -> DataFrame:
-    """Rows past the high-water mark, one per time value.
+def newer_than(
+    df: DataFrame, ts: str, mark, tie_break: Sequence[Column | str], feed: Sequence[str] = ()
+) -> DataFrame:
+    """Rows past the high-water mark, one per time value (and feed, if given).
 
     The mark moves with every row sent, so rows sharing a time with an earlier
-    one are skipped; ``tie_break`` says which of them comes first.
+    one are skipped; ``tie_break`` says which of them comes first. On a stream the
+    mark is kept in its state from ``mark`` on and ``tie_break`` names columns.
     """
-    return first_per_key(df.filter(F.col(ts) > mark), [ts], tie_break)
+    above = df.filter(F.col(ts) > mark)
+    if df.isStreaming:
+        from aerolith.streaming.stateful import above_mark
+
+        return above_mark(above, ts, list(tie_break), feed)
+    return first_per_key(above, [*feed, ts], [F.asc(c) if isinstance(c, str) else c for c in tie_break])
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[Column] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.functions import geo, rules
-from aerolith.functions.casting import coerce_numeric, round_half_up
+from aerolith.functions.casting import coerce_numeric, round_half_up, round_once
 from aerolith.functions.codes import country_codes
 from aerolith.functions.text import region_of
 from aerolith.operators.joins import contains_counts, settled
@@ -363,7 +363,7 @@ def seismic_by_region(seismics: DataFrame, as_of: Column, limit: int | None = No
         .groupBy(region_of(F.col("place"), "greedy").alias("region"))
         .agg(
             F.count(F.lit(1)).alias("events"),
-            round_half_up(F.max("mag"), 1).alias("max_mag"),
+            round_once(F.max("mag"), 1).alias("max_mag"),
             round_half_up(F.avg("mag"), 2).alias("avg_mag"),
             F.sum("tsunami").alias("tsunami_events"),
         )

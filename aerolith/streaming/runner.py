@@ -22,6 +22,21 @@ def flush_options(feed: str) -> dict[str, str]:
     return {"maxOffsetsPerTrigger": str(FLUSH_ROWS[feed])}
 
 
+def bounded_files(
+    spark: SparkSession, path: str, schema, files: int | None = None, size: str | None = None
+) -> DataFrame:
+    """A folder of parquet files as a stream whose micro-batches take at most ``files`` files or ``size`` bytes.
+
+    Spark admits whole files: a batch holds at least one, and ``size`` (such as "64m") is passed by its last one.
+    """
+    reader = spark.readStream.schema(schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    if size is not None:
+        reader = reader.option("maxBytesPerTrigger", size)
+    return reader.parquet(path)
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Partitions of the streaming state: the setting ``aerolith.state.partitions``, else one per core.
 

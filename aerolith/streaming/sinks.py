@@ -58,20 +58,21 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 def newest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The newest row per key by the order of the records; the batch only settles what they leave open."""
+    if not order:
+        raise ValueError("name the order of the records: batch numbers of different runs cannot be compared")
     return first_per_key(rows, keys, [*order, F.desc(BATCH), F.desc(RUN)]).drop(BATCH, RUN)
 
 
-def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Current state of a keyed table: the newest row per key by ``order``, as in the sink.
 
-    Without an order the row of the newest batch counts, which suits tables
-    whose later batches correct earlier ones.
+    The order has to come from the records. Windows that are updated grow, so their row count orders them.
     """
     return newest_rows(read_batches(spark, path), keys, order)
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, order: Sequence[Column] = ()
+    spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, order: Sequence[Column]
 ) -> DataFrame:
     """State of the newest snapshot, which is found before the newest row per key.
 
@@ -83,7 +84,7 @@ def read_snapshot(
     return newest_rows(rows.filter(F.col(snapshot) == newest), keys, order)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Replace the batches written so far by one that holds the current state.
 
     Batches that a query adds meanwhile are left alone. The fold is written

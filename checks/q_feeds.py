@@ -546,16 +546,30 @@ def epochs(t):
     )
 
 
+FLUSHED = 8
+
+
 @query(
     "k07_flush",
-    f"select cast(case when ts < {HALF} then 0 else 1 end as integer) as batch_id, count(*) as rows from events group by 1",
+    f"""select cast({FLUSHED} as bigint) as batches, count(*) as rows, count(distinct event_id) as ids,
+          true as within_bound from events""",
 )
 @tables
 def flush(t):
-    """Rows per micro-batch; a batch takes what has arrived by its trigger."""
-    table = fresh_path(t.spark, "flushed")
-    Replay(t).run("fx_seismics", lambda s: s.select("id"), sink=sinks.append_sink(table, "row_id"))
-    return sinks.read_batches(t.spark, table).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    """The events wait in many files; a micro-batch takes a bounded number of them, so none is larger than its bound."""
+    inbox, table = fresh_path(t.spark, "inbox"), fresh_path(t.spark, "flushed")
+    events = t.raw("events").select("event_id", "ts")
+    events.repartition(2 * FLUSHED, "event_id").sortWithinPartitions("event_id").write.parquet(inbox)
+    files = t.spark.read.parquet(inbox).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
+    largest = files.agg(F.max("n")).first()[0] or 0
+    stream = runner.bounded_files(t.spark, inbox, events.schema, files=2)
+    sink = sinks.append_sink(table, "row_id")
+    runner.run_to_end(runner.start(stream, fresh_path(t.spark, "checkpoint"), sink=sink))
+    rows = sinks.read_batches(t.spark, table)
+    batches = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = batches.agg(F.count(F.lit(1)).alias("batches"), F.sum("n").alias("rows"), F.max("n").alias("most"))
+    ids = rows.agg(F.count_distinct("event_id")).scalar()
+    return sizes.select("batches", "rows", ids.alias("ids"), (F.col("most") <= 2 * largest).alias("within_bound"))
 
 
 @query(

@@ -10,7 +10,7 @@ from aerolith.plans import serving
 from aerolith.plans.intermediate import country_airline
 from checks.inputs import tables
 from checks.q_tables import context_mart
-from checks.registry import AS_OF, CTES, query, rnd
+from checks.registry import AS_OF, CTES, query, rnd, rnd_once
 
 CTES["s_flights"] = """
 select icao24, coalesce(f.callsign, icao24) as callsign, f.origin_country, f.longitude as lon, f.latitude as lat,
@@ -192,7 +192,7 @@ def top_airports(t):
 
 @query(
     "q15_seismic_regions",
-    f"""select regexp_replace(place, '^.*,\\s*', '') as region, count(*) as events, {rnd("max(mag)", 1)} as max_mag,
+    f"""select regexp_replace(place, '^.*,\\s*', '') as region, count(*) as events, {rnd_once("max(mag)", 1)} as max_mag,
           {rnd("avg(mag)", 2)} as avg_mag, cast(sum(tsunami) as bigint) as tsunami_events
         from s_day group by 1 order by max_mag desc, events desc, region nulls last limit 25""",
 )

@@ -78,3 +78,11 @@ def test_samples_and_lists_keep_their_limits(t):
     assert serving.altitude_sample(t.enriched(), k=5).count() == 5
     assert serving.flights_map(t.fx("flights"), t.enriched(), limit=7).count() == 7
     assert "TakeOrderedAndProject" in plan(serving.country_counts(t.fx("flights"), limit=3))
+
+
+def test_the_largest_magnitude_is_rounded_once(spark):
+    rows = [(6.0499996, "x, A", "2024-01-01 00:00:00", 0), (6.05, "x, B", "2024-01-01 00:00:00", 1)]
+    quakes = spark.createDataFrame(rows, "mag double, place string, event_time string, tsunami int")
+    quakes = quakes.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    found = serving.seismic_by_region(quakes, F.lit("2024-01-01 01:00:00").cast("timestamp")).collect()
+    assert {r.region: r.max_mag for r in found} == {"A": 6.0, "B": 6.1}

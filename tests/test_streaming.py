@@ -1,13 +1,16 @@
 """Streaming runs on hand-made input: late rows, restarts, snapshots, idle inputs."""
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators.keyed import first_seen
+from aerolith.operators.keyed import first_seen, newer_than
 from aerolith.operators.windows import tumbling_agg
 from aerolith.plans import windows as win
 from aerolith.session import fresh_path, shared_dir
-from aerolith.streaming import runner, sinks
+from aerolith.streaming import reports, runner, sinks, stateful
 
 def counted():
     return [F.count(F.lit(1)).alias("n")]
@@ -74,7 +77,7 @@ def test_updates_survive_a_repeated_batch(spark):
     feed.run(build, sink=sink, mode="update")
     feed.add([(clock(2), "A"), (clock(7), "B")])
     feed.run(build, sink=sink, mode="update")
-    rows = sinks.read_keyed(spark, table, keys).collect()
+    rows = sinks.read_keyed(spark, table, keys, [F.desc("flight_count")]).collect()
     got = {(r.origin_country, r.flight_count, r.airborne_count, r.avg_altitude_m, r.avg_velocity_ms) for r in rows}
     assert got == {("A", 2, 2, None, 2.0), ("B", 1, 1, None, 2.0)}
     assert written == sorted(set(written)) and len(written) >= 2  # the restart went on counting
@@ -86,9 +89,9 @@ def test_a_snapshot_over_two_batches_stays_whole(spark):
     for rows in ([("a", 1, 1), ("b", 1, 1)], [("a", 2, 2), ("a", 2, 3)], [("c", 2, 2)]):
         feed.add(rows)
         feed.run(lambda s: s, sink=sink)
-    state = sinks.read_snapshot(spark, table, ["k"], "snap")
-    assert {(r.k, r.v) for r in state.collect()} == {("a", 3), ("c", 2)}
     order = [F.desc("snap"), F.desc("v")]
+    state = sinks.read_snapshot(spark, table, ["k"], "snap", order)
+    assert {(r.k, r.v) for r in state.collect()} == {("a", 3), ("c", 2)}
     folded = sinks.compact(spark, table, ["k"], order)
     assert {(r.k, r.v) for r in folded.collect()} == {("a", 3), ("b", 1), ("c", 2)}
     assert sinks.read_batches(spark, table).count() == 3
@@ -217,3 +220,140 @@ def test_state_partitions_can_be_set(spark):
         assert runner.state_partitions(spark) == 37
     finally:
         spark.conf.unset(runner.STATE_PARTITIONS)
+
+
+def test_a_new_checkpoint_and_a_fold_need_the_order_of_the_records(spark):
+    table, order = fresh_path(spark, "table"), [F.desc("n")]
+    sink = sinks.upsert_sink(table, ["k"], order)
+    old = Feed(spark, "k string, n int")
+    for n in (1, 2, 3):
+        old.add([("a", n)])
+        old.run(lambda s: s, sink=sink)
+    sinks.compact(spark, table, ["k"], order)
+    new = Feed(spark, "k string, n int")  # its first batch has number 0, the fold has number 2
+    new.add([("a", 9)])
+    new.run(lambda s: s, sink=sink)
+    assert [r.n for r in sinks.read_keyed(spark, table, ["k"], order).collect()] == [9]
+    with pytest.raises(ValueError, match="order"):
+        sinks.read_keyed(spark, table, ["k"], [])
+
+
+def test_high_water_mark_on_a_stream(spark):
+    feed, out = Feed(spark, "at long, name string, source string"), fresh_path(spark, "out")
+
+    def build(s):
+        return newer_than(s, "at", F.lit(10), ["name"], ["source"])
+
+    feed.add([(12, "b", "x"), (12, "a", "x"), (11, "c", "x"), (10, "old", "x"), (None, "no time", "x"), (5, "old", "y")])
+    feed.run(build, path=out)
+    feed.add([(12, "again", "x"), (11, "late", "x"), (13, "new", "x"), (11, "first", "y"), (20, "null feed", None)])
+    feed.run(build, path=out)  # from the checkpoint, with the marks of the run before
+    feed.add([(13, "again", "x"), (20, "again", None), (21, None, None), (21, "d", None)])
+    feed.run(build, path=out)
+    got = sorted((str(r.source), r.at, str(r.name)) for r in spark.read.parquet(out).collect())
+    assert got == [
+        ("None", 20, "null feed"), ("None", 21, "d"),
+        ("x", 11, "c"), ("x", 12, "a"), ("x", 13, "new"), ("y", 11, "first"),
+    ]
+    with pytest.raises(ValueError):
+        stateful.above_mark(spark.range(1), "id", [])
+
+
+def spread():
+    """Largest minus smallest value and the longest name: needs both ends, so partial results have to be merged."""
+    return stateful.Reducer(
+        initial=lambda: [],
+        add=lambda held, row: [*held, (row["v"], row["name"] or "")],
+        merge=lambda a, b: a + b,
+        result=lambda held: (max(v for v, _ in held) - min(v for v, _ in held), max((len(n), n) for _, n in held)[1]),
+        ddl="width double, longest string",
+    )
+
+
+def test_user_reduce_equals_a_plain_fold(spark):
+    rng = random.Random(3)
+    rows = [
+        (clock(rng.randint(0, 40), rng.randint(0, 59)), rng.choice(["a", "b", None]), rng.random(), rng.choice(["x", "yy", "z" * 9, None]))
+        for _ in range(300)
+    ]
+    feed, out = Feed(spark, "ts string, k string, v double, name string"), fresh_path(spark, "out")
+
+    def build(s):
+        return stateful.reduce_windows(s, "ts", "5 minutes", ["k"], spread(), "1 hour")
+
+    rows.sort(key=lambda r: r[0])
+    half = rows[:150], rows[150:]
+    for part in half:
+        feed.add(part)
+        feed.run(build, path=out)
+    feed.add([("2024-01-01 05:00:00", "end", 0.0, "")])  # moves the watermark past all windows
+    feed.run(build, path=out)
+    expected = {}
+    for (start, k), own in itertools.groupby(
+        sorted(((int(ts[14:16]) // 5 * 5, k or ""), (v, n or "")) for ts, k, v, n in rows), key=lambda r: r[0]
+    ):
+        held = [x for _, x in own]
+        expected[start, k] = max(v for v, _ in held) - min(v for v, _ in held), max((len(n), n) for _, n in held)[1]
+    plain = spark.createDataFrame(rows, feed.schema).withColumn("ts", F.col("ts").cast("timestamp")).repartition(4)
+    batch = stateful.reduce_windows(plain, "ts", "5 minutes", ["k"], spread())
+    for found in (spark.read.parquet(out), batch):
+        got = {(r.window_start.minute, r.k or ""): (r.width, r.longest) for r in found.collect()}
+        assert got.keys() == expected.keys()
+        assert all(abs(got[k][0] - expected[k][0]) < 1e-9 and got[k][1] == expected[k][1] for k in got)
+
+
+def test_side_state_is_carried_on_and_expires(spark):
+    out, checkpoint = fresh_path(spark, "out"), fresh_path(spark, "checkpoint")
+    main = Feed(spark, "ts string, cell int, name string")
+    side = Feed(spark, "side_ts string, cell int, id long, mag double")
+
+    def run(flights, quakes):
+        main.add(flights)
+        side.add(quakes)
+        joined = stateful.with_newest_sides(
+            main.stream(), "ts", ["cell"], {"quake": (side.stream(), "side_ts", "id")}, "30 minutes", "1 hour"
+        )
+        runner.run_to_end(runner.start(joined, checkpoint, path=out))
+
+    run([(clock(1), 1, "before"), (clock(10), 1, "with"), (clock(10), 2, "elsewhere")],
+        [(clock(5), 1, 1, 4.0), (clock(10), 1, 2, 5.0), (clock(10), 1, 2**62 + 3, 6.0)])
+    run([(clock(30), 1, "kept"), (clock(45), 1, "too old")], [(clock(59), 2, 9, None)])
+    run([(clock(59), 2, "same time")], [(clock(8), 1, 7, 1.0)])  # an older quake does not replace a newer one
+    run([(clock(20), 1, "still the newest")], [(clock(59), 3, 9, None)])
+    got = {r.name: (r.quake_id, r.quake_mag) for r in spark.read.parquet(out).collect()}
+    nothing = (None, None)
+    assert got == {
+        "before": nothing, "with": (2**62 + 3, 6.0), "elsewhere": nothing, "kept": (2**62 + 3, 6.0), "too old": nothing,
+        "same time": (9, None), "still the newest": (2**62 + 3, 6.0),
+    }
+
+
+def test_report_of_late_rows_and_failed_rules(spark):
+    feed, path = Feed(spark, "ts string, k string"), fresh_path(spark, "report")
+    listener = reports.BatchReport(spark, path)
+    spark.streams.addListener(listener)
+    out = fresh_path(spark, "out")
+    try:
+        for rows in ([(clock(1), "a"), (clock(40), None)], [(clock(2), "a"), (clock(50), "b")]):
+            feed.add(rows)
+            checked = reports.observe_rules(feed.stream(), [("k", "not_null")])
+            agg = tumbling_agg(checked, "ts", "5 minutes", ["k"], counted(), "60 seconds")
+            query = runner.start(agg, feed.checkpoint, path=out)
+            runner.run_to_end(query)
+            listener.wait_for(query)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = reports.read_report(spark, path).groupBy("metric", "name").agg(F.sum("value").alias("n")).collect()
+    got = {(r.metric, r.name): r.n for r in rows}
+    assert got["rules", "rows"] == 4 and got["rules", "k not_null"] == 1 and got["batch", "late"] == 1
+
+
+def test_a_flush_is_bounded_by_files(spark):
+    feed, table = Feed(spark, "n int"), fresh_path(spark, "table")
+    for k in range(6):
+        feed.add([(10 * k + j,) for j in range(k + 1)])
+    stream = runner.bounded_files(spark, feed.path, feed.columns, files=1)
+    runner.run_to_end(runner.start(stream, feed.checkpoint, sink=sinks.append_sink(table, "row_id")))
+    rows = sinks.read_batches(spark, table)
+    assert sorted(r["count"] for r in rows.groupBy("batch_id").count().collect()) == [1, 2, 3, 4, 5, 6]
+    assert rows.select("n").distinct().count() == 21
