@@ -152,9 +152,9 @@ def contains_counts(
     """Number of left rows containing each code, without emitting the pairs.
 
     Equal texts are counted first, so a text shared by a third of all rows costs
-    one probe.
+    one probe. The distinct codes are settled, as they are read twice.
     """
     texts = left.filter(F.col(text).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("_weight"))
-    codes = right.select(code).distinct()
+    codes = settled(right.select(code).distinct(), "codes")
     pairs = contains_join(texts, text, codes, code, lengths)
     return pairs.groupBy(code).agg(F.sum("_weight").alias("matches"))

@@ -72,9 +72,18 @@ def first_seen(df: DataFrame, key: str, order: Sequence[Column] | None = None) -
     return first_per_key(df, [key], order or [F.col(key)])
 
 
-def latest_window(df: DataFrame, end_col: str = "window_end") -> DataFrame:
-    """Rows of the newest window."""
-    return df.filter(F.col(end_col) == df.agg(F.max(end_col)).scalar())
+def latest_window(df: DataFrame, end_col: str = "window_end", bounded: bool = False) -> DataFrame:
+    """Rows of the newest window.
+
+    ``bounded`` says that a window has a bounded number of rows (cells, countries).
+    The input is then worked out once: a rank limit leaves each task the rows of its
+    newest window before these meet. Otherwise the newest end is a subquery.
+    """
+    if not bounded:
+        return df.filter(F.col(end_col) == df.agg(F.max(end_col)).scalar())
+    timed = df.filter(F.col(end_col).isNotNull())
+    ranked = timed.withColumn("_rank", F.rank().over(Window.orderBy(F.desc(end_col))))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def recent(df: DataFrame, ts: str, interval: str, as_of: Column) -> DataFrame:

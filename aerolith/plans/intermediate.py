@@ -12,17 +12,16 @@ from aerolith.operators.keyed import first_per_key
 from aerolith.plans.staging import stamped
 
 
-def int_airport_grid(airports: DataFrame) -> DataFrame:
+def int_airport_grid(airports: DataFrame, spheroid: bool = False) -> DataFrame:
     """One airport per cell, the one nearest to the cell centre.
 
-    Distances are spherical and compared to the millimetre; equal ones go to the
-    lowest airport id. The result is bounded by the number of cells on the globe.
+    Distances are spherical, or on the WGS84 spheroid if asked, and compared to the
+    millimetre; equal ones go to the lowest airport id. The result is bounded by the number of cells on the globe.
     """
     cells = geo.with_cell(airports, "latitude", "longitude")
     half = geo.GRID_STEP / 2
-    from_centre = geo.haversine_km(
-        F.col("latitude"), F.col("longitude"), F.col("grid_lat") + half, F.col("grid_lon") + half
-    )
+    distance = (lambda *ends: geo.geodesic_m(*ends) / 1000) if spheroid else geo.haversine_km
+    from_centre = distance(F.col("latitude"), F.col("longitude"), F.col("grid_lat") + half, F.col("grid_lon") + half)
     nearest = first_per_key(
         cells.withColumn("_km", round_half_up(from_centre, 6)),
         ["grid_lat", "grid_lon"],

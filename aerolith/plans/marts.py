@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions import rules
@@ -48,7 +48,7 @@ def flight_activity(
         tops={name: name for name in ("airline_name", "airline_iata", "airline_icao")},
     )
     share = F.col("flights_near_airport") / F.nullif(F.col("live_flight_count"), F.lit(0)) * 100
-    newest = latest_window(tumbling).select(
+    newest = latest_window(tumbling, bounded=True).select(
         "origin_country",
         F.col("window_start").alias("last_window_start"),
         F.col("window_end").alias("last_window_end"),
@@ -141,18 +141,19 @@ def flight_context(
     """Newest context window per cell with live flights, weather, quakes and a risk score.
 
     Every side is reduced to one row per cell before it joins. The sides leave their
-    aggregation partitioned by cell, so the joins add no shuffle of their own; the
-    mean over all cells is a scalar subquery.
+    aggregation partitioned by cell, so the joins add no shuffle of their own. The
+    newest window holds a row per cell of the globe at most and is worked out once; the
+    mean over all cells is taken over these rows.
     """
-    newest = latest_window(context)
-    mean_flights = newest.agg(F.avg("flight_count")).scalar()
+    newest = latest_window(context, bounded=True)
+    mean_flights = F.avg("flight_count").over(Window.partitionBy())
     cell = ["grid_lat", "grid_lon"]
     live = flights_by_grid(enriched).drop("live_flight_count")
     sky = weather_by_grid(weather).select(
         *cell, "wind_severity", "weather_label", "avg_precip_mm", F.col("avg_visibility_m").alias("_visibility")
     )
     quakes = quakes_by_grid(seismics, as_of).drop("avg_mag_24h")
-    joined = newest.filter(F.col("flight_count") > 0).withColumn("_mean_flights", mean_flights)
+    joined = newest.withColumn("_mean_flights", mean_flights).filter(F.col("flight_count") > 0)
     for side in (live, sky, quakes):
         joined = joined.join(side, cell, "left")
     out = (

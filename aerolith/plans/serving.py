@@ -220,7 +220,7 @@ def _null_last(column: str) -> Column:
 
 
 def risk_grid(context_mart: DataFrame, limit: int | None = None) -> DataFrame:
-    rows = latest_window(context_mart).filter(F.col("risk_score") > 0).select(
+    rows = latest_window(context_mart, bounded=True).filter(F.col("risk_score") > 0).select(
         "grid_lat", "grid_lon", "risk_score", "flight_count",
         F.col("primary_airport_city").alias("city"), "continent", "wind_severity", "max_mag_24h",
     )

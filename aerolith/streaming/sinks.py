@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.operators.keyed import first_per_key
+from aerolith.operators.keyed import first_per_key, latest_window
 
 BATCH, RUN = "batch_id", "run"
 
@@ -106,16 +106,55 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     return read_keyed(spark, path, keys, order)
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """A table (full refresh below ``path``) or, without a path, a lazy view."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    salts: int = 1,
+) -> DataFrame:
+    """A table (full refresh below ``path``) or, without a path, a lazy view.
+
+    A table may be partitioned by columns. Rows of one partition then meet in
+    ``salts`` tasks, so that it gets few files, and are ordered by ``sort_by`` in
+    each, so that row groups can be skipped. Raise ``salts`` where one partition
+    holds more than a task should write.
+    """
     if path is None:
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
     target = f"{path}/{name}"
-    df.write.mode("overwrite").parquet(target)
+    if partition_by:
+        salt = [F.pmod(F.xxhash64(*df.columns), F.lit(salts))] if salts > 1 else []
+        df = df.repartition(*partition_by, *salt)
+    if partition_by or sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
     return df.sparkSession.read.parquet(target)
 
 
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """Highest value of a table's first partition column, by folder names alone; None without any.
+
+    For columns whose text order is their order, such as days. No file is read.
+    """
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(context._jsc.hadoopConfiguration())
+    found = files.globStatus(hadoop(f"{path}/{column}=*"))
+    values = [str(f.getPath().getName()).split("=", 1)[1] for f in found or []]
+    return max((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+
+def newest_rows_of(spark: SparkSession, path: str, column: str, end_col: str = "window_end") -> DataFrame:
+    """Rows of the newest window of a table partitioned by the day of its window ends: one partition is read."""
+    table = spark.read.parquet(path)
+    newest = newest_partition(spark, path, column)
+    part = table.filter(F.lit(False) if newest is None else F.col(column) == F.lit(newest).cast(table.schema[column].dataType))
+    return latest_window(part, end_col)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """Parquet folder, or an empty table when nothing was written yet."""
     try:

@@ -7,6 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.operators.windows import whole_windows
 from aerolith.plans import intermediate, staging
 from aerolith.plans import windows as win
 from checks import fixtures
@@ -16,10 +17,10 @@ def once(method):
     """Keep what a method returned per argument; lazy DataFrames can be shared."""
 
     @wraps(method)
-    def kept(self, *args):
-        key = (method.__name__, *args)
+    def kept(self, *args, **named):
+        key = (method.__name__, *args, *sorted(named.items()))
         if key not in self._kept:
-            self._kept[key] = method(self, *args)
+            self._kept[key] = method(self, *args, **named)
         return self._kept[key]
 
     return kept
@@ -70,12 +71,19 @@ class Tables:
         ).drop("_loaded_at")
 
     @once
-    def flight_windows(self, size: str = win.WINDOW) -> DataFrame:
-        return win.flight_tumbling(self.fx("flights"), "time_position", size)
+    def flight_windows(self, size: str = win.WINDOW, span: str | None = None, newest: bool = True) -> DataFrame:
+        """All windows; with a span those of it, and the newest one unless told otherwise."""
+        flights = self.fx("flights")
+        if span is not None:
+            flights = whole_windows(flights, "time_position", size, span, self.as_of, newest)
+        return win.flight_tumbling(flights, "time_position", size)
 
     @once
-    def seismic_windows(self, size: str = win.WINDOW) -> DataFrame:
-        return win.seismic_tumbling(self.fx("seismics"), "event_time", size)
+    def seismic_windows(self, size: str = win.WINDOW, span: str | None = None) -> DataFrame:
+        quakes = self.fx("seismics")
+        if span is not None:
+            quakes = whole_windows(quakes, "event_time", size, span, self.as_of, newest=False)
+        return win.seismic_tumbling(quakes, "event_time", size)
 
     @once
     def weather_windows(self, size: str = win.WINDOW) -> DataFrame:
@@ -87,6 +95,13 @@ class Tables:
             "time_position", "event_time", "snapshot_ts", size, incremental=incremental,
         )
 
+    def newest_context(self, size: str = "6 hours") -> DataFrame:
+        """The context of the flights' newest window, from the rows of that time only."""
+        lead = (self.fx("flights"), "time_position")
+        timed = {"flights": "time_position", "seismics": "event_time", "weather_stream": "snapshot_ts"}
+        sides = [whole_windows(self.fx(name), ts, size, lead=lead) for name, ts in timed.items()]
+        return win.flight_context(*sides, *timed.values(), size)
+
 
 def tables(fn):
     """Let a query take its inputs as a :class:`Tables`."""

@@ -11,7 +11,7 @@ from aerolith.functions.casting import (
 from aerolith.functions.codes import COUNTRY_CODES
 from aerolith.functions.text import region_of, snapshot_id
 from aerolith.operators import keyed
-from aerolith.operators.joins import contains_counts, contains_join, enrich, lookup_union, top1_lateral
+from aerolith.operators.joins import contains_counts, contains_join, enrich, lookup_union, settled, top1_lateral
 from aerolith.operators.profiles import counted, mode_of, profile
 from aerolith.plans import intermediate, marts, serving
 from checks import views
@@ -82,8 +82,8 @@ def country_window_history(t):
     counts = t.enriched().filter("origin_country is not null").groupBy("origin_country").agg(
         F.count(F.lit(1)).alias("flights")
     )
-    tumbling = t.flight_windows()
-    newest = keyed.latest_window(tumbling).select("origin_country", "flight_count")
+    tumbling = t.flight_windows(span="2 hours")
+    newest = keyed.latest_window(tumbling, bounded=True).select("origin_country", "flight_count")
     history = keyed.recent(tumbling, "window_end", "2 hours", t.as_of).groupBy("origin_country").agg(
         F.max("flight_count").alias("peak")
     )
@@ -182,7 +182,7 @@ CTES["v_codes"] = "select distinct airline as code from fx_routes where airline
 @tables
 def contains(t):
     flying = t.fx("flights").filter(~F.col("on_ground")).select("icao24", F.upper("callsign").alias("text"))
-    codes = t.fx("routes").select(F.col("airline").alias("code")).distinct()
+    codes = settled(t.fx("routes").select(F.col("airline").alias("code")).distinct(), "codes")
     return contains_join(flying, "text", codes, "code").select("icao24", "code")
 
 
@@ -216,7 +216,7 @@ def raw_enriched(t):
 )
 @tables
 def scalar_max(t):
-    return keyed.latest_window(t.flight_windows()).select("origin_country", "flight_count")
+    return keyed.latest_window(t.flight_windows(), bounded=True).select("origin_country", "flight_count")
 
 
 _codes = ", ".join(f"('{name}', '{iso3}', {number})" for name, iso3, number in COUNTRY_CODES)
@@ -476,7 +476,7 @@ def sample(t):
 @query("w08_latest_window", "select * from w_context where window_end = (select max(window_end) from w_context)")
 @tables
 def latest(t):
-    return keyed.latest_window(t.context())
+    return keyed.latest_window(t.context(), bounded=True)
 
 
 @query("u01_lookup_union", "select code, airline_id, airline_name from v_airline_codes")

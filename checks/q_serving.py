@@ -83,7 +83,7 @@ def kpis(t):
 )
 @tables
 def flight_trend(t):
-    return serving.flight_trend(t.flight_windows(), t.as_of)
+    return serving.flight_trend(t.flight_windows(span="2 hours", newest=False), t.as_of)
 
 
 @query("q06_seismic_trend", "select date_trunc('hour', event_time) as hour, count(*) as events, max(mag) as max_mag from s_day group by 1")

@@ -144,7 +144,7 @@ def flights_enriched(t):
 @query("m04_flight_activity", "select * from m_activity")
 @tables
 def flight_activity(t):
-    return marts.flight_activity(t.enriched(), t.flight_windows(), t.as_of).drop("refreshed_at")
+    return marts.flight_activity(t.enriched(), t.flight_windows(span="2 hours"), t.as_of).drop("refreshed_at")
 
 
 @query(
@@ -158,20 +158,20 @@ def flight_context(t):
 
 def context_mart(t):
     return marts.flight_context(
-        t.context(), t.enriched(), t.staged("weather"), t.staged("seismics"), t.as_of
+        t.newest_context(), t.enriched(), t.staged("weather"), t.staged("seismics"), t.as_of
     ).drop("refreshed_at")
 
 
 @query("m06_seismic_activity", views.seismic_activity("m_trend"))
 @tables
 def seismic_activity(t):
-    return marts.seismic_activity(t.staged("seismics"), t.seismic_windows(), t.as_of).drop("refreshed_at")
+    return marts.seismic_activity(t.staged("seismics"), t.seismic_windows(span="3 hours"), t.as_of).drop("refreshed_at")
 
 
 @query("m06_seismic_activity_per_region", views.seismic_activity("m_trend_own"))
 @tables
 def seismic_activity_per_region(t):
-    mart = marts.seismic_activity(t.staged("seismics"), t.seismic_windows(), t.as_of, per_region=True)
+    mart = marts.seismic_activity(t.staged("seismics"), t.seismic_windows(span="3 hours"), t.as_of, per_region=True)
     return mart.drop("refreshed_at")
 
 
