@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from aerolith.llm import decontamination, near_copies, pii
 from aerolith.llm.registry import ORACLES, QUERIES
@@ -81,3 +83,27 @@ def test_narrow_naming_still_checks_all_pairs(spark):
     assert all((near_copies.similarity(sets[a], sets[b]) >= 0.8) == (b == 100 + a) for a in sets for b in sets if a < b)
     kept = {r["doc_id"] for r in near_copies.keep_one(df, radius=40).collect()}
     assert kept == {i for i in sets if i < 100}
+
+
+def test_sketches_never_reject_a_near_copy():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 5, 60, 400, 5000):
+        for share in (0.0, 0.02, 0.1, 0.12, 0.5):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[int(share * len(a)) :], rng.integers(0, 1 << 63, int(share * size), dtype=np.uint64)]))
+            bound = near_copies.least_difference(near_copies.sketch(a), near_copies.sketch(b))
+            assert bound <= len(np.setxor1d(a, b))
+            if near_copies.similarity(a, b) >= 0.8:
+                assert near_copies.allowed(len(a), len(b), bound, 0.8)
+            elif share == 0.5 and size >= 60:
+                assert not near_copies.allowed(len(a), len(b), bound, 0.8)
+    small, large = np.arange(3, dtype=np.uint64), np.arange(900, dtype=np.uint64)
+    assert near_copies.least_difference(near_copies.sketch(small), near_copies.sketch(large)) <= 897
+
+
+def test_repeated_rows_leave_one(spark):
+    text = "one text of a good many words that stands here more than once"
+    rows = [(1, text)] * 5 + [(2, text.upper())] * 3 + [(None, "lone row")] * 4 + [(3, "")] * 2 + [(3, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    kept = [(r["doc_id"], r["text"] or "") for r in near_copies.keep_one(df).collect()]
+    assert sorted(kept, key=str) == sorted([(1, text), (None, "lone row"), (3, "")], key=str)
