@@ -105,7 +105,7 @@ def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, feature, weight / norm[row]
 
 
-def kernel_to(units: list[str], landmarks: tuple, chunk: int = 4_000) -> np.ndarray:
+def kernel_to(units: list[str], landmarks: tuple, chunk: int = 500) -> np.ndarray:
     """Kernel of units with landmarks given as (row of each feature, matrix of features by landmarks)."""
     place, matrix = landmarks
     out = np.zeros((len(units), matrix.shape[1]))
@@ -245,7 +245,7 @@ def train(
     return model | {"slope": slope, "offset": offset}
 
 
-def unit_scores(model: dict, units: list[str], chunk: int = 4_000) -> np.ndarray:
+def unit_scores(model: dict, units: list[str], chunk: int = 1_000) -> np.ndarray:
     """Decision value of each unit."""
     out = np.full(len(units), model["bias"])
     for at in range(0, len(units), chunk):
