@@ -11,16 +11,18 @@ a similarity of 0.94 this finds a pair with a chance of 0.96, at 0.9 of 0.88 (co
 for independent bits); unrelated pairs come that near about once in 20 million.
 
 Sketches. A node carries the parities of its shingle hashes dealt to a number of
-places, some two to four per shingle. Differing parities of two nodes are never more
+places, some two to four per shingle; those of up to `PLACES` go into the blocks. Differing parities of two nodes are never more
 than their differing shingles, so pairs above what 0.8 allows go without loss, and
 whole shingle sets are read for the few others only.
 
-Rounds. In a block a node names its `width` smallest smaller neighbours, not all, so
-a group of copies never becomes all its pairs. Named pairs that their sketches allow
-are checked exactly: each node's smallest first, then those that this has not joined
-yet. A node linked to a smaller one is not asked again. Nodes that found no link and
-have neighbours that they did not name ask again with a greater width, until there
-are none: every node that stays has been compared with all its smaller candidates.
+Rounds. A first pass names each node's smallest smaller neighbour and marks the nodes
+that have others; big blocks are compared within their parts only. What the exact
+check confirms is joined to components. In the rounds after it, marked nodes name
+neighbours of other components that their sketches allow, `width` in a block, and go on behind
+those in the next round, with a greater width, until no node has any left. So a group
+of copies never becomes all its pairs, yet every pair of candidates has been compared
+or lies in one component at the end. The largest component of a big block is compared
+with the block's other members, not with itself.
 
 Rows are told apart by id and a hash of their text, so that no text is written to
 the working tables. Null texts count as empty; texts without words are one node.
@@ -31,12 +33,12 @@ not use. The table is read three times and must give the same rows each time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import add_columns, unused_names, written
@@ -49,6 +51,7 @@ RADIUS = 11
 BANDS = 8
 WIDTH = 4
 WIDER = 64
+PLACES = 1024
 SEED = 42
 
 
@@ -111,21 +114,20 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return common / whole if whole else 1.0
 
 
-def neighbours(ident, side, fps, names, asks, radius: int, width: int) -> tuple:
-    """(larger, smaller, more): each asking member's `width` smallest smaller neighbours in its block; more if it has others.
+def hits(ident, side, fps, asks, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) in portions: rows b of its block within radius of asking row a, all rows of one a in one portion.
 
     Rows are sorted by block. In a block with both sides only pairs across are compared.
     """
     starts = np.flatnonzero(np.diff(ident, prepend=ident[:1] - 1))
     sizes = np.diff(np.append(starts, len(fps)))
-    has_two = np.add.reduceat(side, starts) > 0
+    has_two = (np.add.reduceat(side, starts) > 0) & (np.add.reduceat(1 - side, starts) > 0)
     offset = np.arange(len(fps)) - np.repeat(starts, sizes)
     words_each = -(-sizes // 64)
     first_word = np.cumsum(words_each) - words_each
     planes, valid = sliced(fps, np.repeat(first_word, sizes) + offset // 64, offset % 64, int(words_each.sum()))
     group_of = np.repeat(np.arange(len(sizes)), sizes)
     asking = np.flatnonzero((sizes[group_of] > 1) & asks)
-    out: list[tuple] = []
     at = 0
     lanes_to = np.cumsum(words_each[group_of[asking]])
     while at < len(asking):
@@ -135,69 +137,189 @@ def neighbours(ident, side, fps, names, asks, radius: int, width: int) -> tuple:
         n = words_each[group_of[part]]
         who = np.repeat(part, n)
         word = np.repeat(first_word[group_of[part]], n) + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-        lanes, hits = near(planes, valid, word, fps[who], radius)
-        bits = np.unpackbits(hits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        lanes, found = near(planes, valid, word, fps[who], radius)
+        bits = np.unpackbits(found.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         row, bit = np.nonzero(bits)
         a = who[lanes[row]]
         g = group_of[a]
         b = starts[g] + (word[lanes[row]] - first_word[g]) * 64 + bit
-        good = (names[b] < names[a]) & ~(has_two[g] & (side[a] == side[b]))
+        good = ~(has_two[g] & (side[a] == side[b]))
+        yield a[good], b[good]
+
+
+def ordered(a: np.ndarray, b: np.ndarray, names: np.ndarray) -> tuple:
+    """a and b by a, then the name of b; the rank of each row among those of its a, and their number."""
+    order = np.lexsort((names[b], a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    count = np.diff(np.append(first, len(a)))
+    return a, b, np.arange(len(a)) - np.repeat(first, count), np.repeat(count, count)
+
+
+def nearest(ident, cut, fps, names, radius: int) -> pa.RecordBatch:
+    """(h, v, more): members with a neighbour in their block, the smallest smaller one, and whether there may be others.
+
+    Of a block that is a part of a cut one all members are named, as their neighbours may be elsewhere.
+    """
+    involved, more = cut > 0, cut > 0
+    least, has = names.copy(), np.zeros(len(names), bool)
+    for a, b in hits(ident, np.zeros_like(cut), fps, np.ones(len(names), bool), radius):
+        good = names[b] < names[a]
+        a, b, rank, count = ordered(a[good], b[good], names)
+        involved[a] = involved[b] = True
+        more[a] |= count > 1
+        least[a[rank == 0]] = names[b[rank == 0]]
+        has[a] = True
+    made = [pa.array(names[involved]), pa.array(least[involved], mask=~has[involved]), pa.array(more[involved])]
+    return pa.RecordBatch.from_arrays(made, names=["h", "v", "more"])
+
+
+def folded(nodes: DataFrame) -> DataFrame:
+    """nodes with sketches of at most `PLACES` places, which bound differences too."""
+
+    def fold(sketch_: bytes) -> bytes:
+        made = np.frombuffer(sketch_, np.uint8)
+        while len(made) > PLACES // 8:
+            made = made[: len(made) // 2] ^ made[len(made) // 2 :]
+        return made.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("sketch")
+            yield batch.set_column(at, "sketch", pa.array(map(fold, batch.column("sketch").to_pylist()), pa.binary()))
+
+    return nodes.mapInArrow(run, nodes.schema)
+
+
+def fitting(a: np.ndarray, b: np.ndarray, n: np.ndarray, sketches: np.ndarray, least: float) -> np.ndarray:
+    """Whether sizes and folded sketches of rows a and b allow a similarity of `least`, as `allowed` tells for one pair."""
+    used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a_at, b_at = at[: len(a)], at[len(a) :]
+    size = np.array([len(s) for s in sketches[used]], np.int64)
+    bits = np.zeros((len(used), PLACES // 8), np.uint8)
+    for row, held in zip(bits, sketches[used]):
+        row[: len(held)] = np.frombuffer(held, np.uint8)
+    common = np.minimum(size[a_at], size[b_at])
+    differ = np.abs(n[a] - n[b])
+    width = PLACES // 8
+    while width >= 8:
+        some = np.flatnonzero(common == width)
+        for part in np.array_split(some, len(some) // LANES + 1):
+            count = np.bitwise_count(bits[a_at[part], :width] ^ bits[b_at[part], :width]).sum(axis=1, dtype=np.int64)
+            differ[part] = np.maximum(differ[part], count)
+        wide = size >= width
+        bits[wide, : width // 2] ^= bits[wide, width // 2 : width]
+        width //= 2
+    return differ * (1 + least) <= (n[a] + n[b]) * (1 - least) + 1e-6
+
+
+def neighbours(ident, side, fps, names, labels, start, n, sketches, radius: int, least: float, width: int) -> pa.RecordBatch:
+    """(u, v, last): each member's `width` smallest neighbours v in its block, from `start` up to its own name.
+
+    They have other labels, and their sketches allow a similarity of `least`. If there are others, `last` is the last one named.
+    """
+    made = [(names[:0], names[:0], names[:0], np.zeros(0, bool))]
+    for a, b in hits(ident, side, fps, start < names, radius):
+        good = (names[b] < names[a]) & (names[b] >= start[a]) & (labels[a] != labels[b])
         a, b = a[good], b[good]
-        order = np.lexsort((names[b], a))
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.diff(a, prepend=-1))
-        count = np.diff(np.append(first, len(a)))
-        rank = np.arange(len(a)) - np.repeat(first, count)
+        good = fitting(a, b, n, sketches, least) if len(a) else good[:0]
+        a, b, rank, count = ordered(a[good], b[good], names)
+        ends = np.flatnonzero(rank == np.minimum(count, width) - 1)
         named = rank < width
-        out.append((names[a[named]], names[b[named]], np.repeat(count > width, count)[named]))
-    if not out:
-        return names[:0], names[:0], np.zeros(0, bool)
-    return tuple(np.concatenate(x) for x in zip(*out))
+        last = np.repeat(names[b[ends]], np.minimum(count, width)[ends])
+        made.append((names[a[named]], names[b[named]], last, (count <= width)[named]))
+    u, v, last, all_named = (np.concatenate(x) for x in zip(*made))
+    columns = [pa.array(u), pa.array(v), pa.array(last, mask=all_named)]
+    return pa.RecordBatch.from_arrays(columns, names=["u", "v", "last"])
 
 
-def named_pairs(nodes: DataFrame, radius: int, width: int, block: int = BLOCK) -> DataFrame:
-    """(u, v, more) with v < u: candidate pairs of nodes (h, fp, asks), u one that asks."""
+def keyed(nodes: DataFrame) -> DataFrame:
+    """nodes with a row for each of the blocks that their fingerprints lie in."""
     size = 64 // BANDS
     band = lambda i: F.shiftrightunsigned("fp", i * size).bitwiseAND(F.lit((1 << size) - 1))
     keys = [
         (F.lit(k << 2 * size) + F.shiftleft(band(i), size) + band(j)).cast("long")
         for k, (i, j) in enumerate(combinations(range(BANDS), 2))
     ]
-    keyed = nodes.select("h", "fp", "asks", F.explode(F.array(*keys)).alias("key"))
-    sizes = keyed.groupBy("key").count().where(F.col("count") > block)
-    cuts = written(sizes.select("key", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "cuts")
-    whole = F.coalesce("cuts", F.lit(1))
-    parts = keyed.join(cuts, "key", "left").select(
-        "key", "h", "fp", "asks", whole.alias("cuts"), F.pmod(F.xxhash64("h", "key"), whole).cast("int").alias("own")
-    )
-    blocks = parts.select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "h", F.col("asks").cast("int").alias("asks"),
-    )
-    spread = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return nodes.select("*", F.explode(F.array(*keys)).alias("key"))
+
+
+def by_block(spread: DataFrame, fields: list[str], make: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    """make(ident, *fields) over rows (key, i, j, *fields), whole blocks at a time."""
+    names = ["key", "i", "j", *fields]
+    dealt = spread.select(names).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            held.append([batch.column(c).to_numpy() for c in ("key", "i", "j", "side", "fp", "h", "asks")])
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
             if sum(len(h[0]) for h in held) < 1 << 16:
                 continue
             columns = [np.concatenate(c) for c in zip(*held)]
             ident = block_numbers(*columns[:3])
             end = int(np.searchsorted(ident, ident[-1]))  # the last block may go on
             if end:
-                yield found(ident[:end], *[c[:end] for c in columns[3:]])
+                yield make(ident[:end], *[c[:end] for c in columns[3:]])
             held = [[c[end:] for c in columns]]
         if held and sum(len(h[0]) for h in held):
             columns = [np.concatenate(c) for c in zip(*held)]
-            yield found(block_numbers(*columns[:3]), *columns[3:])
+            yield make(block_numbers(*columns[:3]), *columns[3:])
 
-    def found(ident, side, fps, names, asks) -> pa.RecordBatch:
-        made = neighbours(ident, side.astype(np.int64), fps.view(np.uint64), names, asks > 0, radius, width)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["u", "v", "more"])
+    return dealt.mapInArrow(run, schema)
 
-    pairs = spread.mapInArrow(run, "u long, v long, more boolean")
-    return pairs.groupBy("u", "v").agg(F.max("more").alias("more"))
+
+def nearest_pairs(nodes: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """(h, v, more) of the nodes (h, fp) that may have neighbours: the smallest smaller one, and whether there may be others."""
+    placed = keyed(nodes.select("h", "fp"))
+    sizes = placed.groupBy("key").count().where(F.col("count") > block)
+    cuts = written(sizes.select("key", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "cuts")
+    whole = F.coalesce("cuts", F.lit(1))
+    own = F.pmod(F.xxhash64("h", "key"), whole).cast("int").alias("i")
+    parts = placed.join(cuts, "key", "left").select(
+        "key", own, F.lit(0).alias("j"), (whole > 1).cast("int").alias("cut"), "fp", "h"
+    )
+
+    def make(ident, cut, fps, names) -> pa.RecordBatch:
+        return nearest(ident, cut, fps.view(np.uint64), names, radius)
+
+    found = by_block(parts, ["cut", "fp", "h"], make, "h long, v long, more boolean")
+    ends = found.groupBy("h").agg(F.min("v").alias("v"), F.max("v").alias("other"), F.max("more").alias("more"))
+    return ends.select("h", "v", (F.col("more") | F.coalesce(F.col("v") != F.col("other"), F.lit(False))).alias("more"))
+
+
+def named_pairs(nodes: DataFrame, radius: int, width: int, block: int = BLOCK, least: float = LEAST) -> DataFrame:
+    """(u, v, last) with start <= v < u: candidate pairs of nodes (h, fp, label, start, n, sketch) of different labels.
+
+    They are all that u has up to `last`, or all that it has if that is null.
+    """
+    placed = keyed(folded(nodes.select("h", "fp", "label", "start", "n", "sketch")))
+    big = written(placed.groupBy("key").count().where(F.col("count") > block).select("key"), "big")
+    counts = placed.join(big, "key").groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+    parts_of = lambda n: F.ceil(n / block).cast("int")
+    cuts = most.select(
+        "key", F.col("most.label").alias("major"), parts_of(F.col("most.n")).alias("majors"),
+        parts_of(F.col("n") - F.col("most.n")).alias("minors"),
+    )
+    in_major = F.col("label") == F.col("major")
+    hashed = lambda n: F.pmod(F.xxhash64("h", "key"), n).cast("int")
+    own = F.when(in_major, F.col("minors") + hashed(F.col("majors"))).when(F.col("minors") > 0, hashed(F.col("minors")))
+    others = F.when(F.col("minors") > 0, F.sequence(F.lit(0), F.col("minors") - 1)).otherwise(F.array().cast("array<int>"))
+    all_ = F.sequence(F.lit(0), F.col("minors") + F.col("majors") - 1)
+    met = F.when(F.col("major").isNull(), F.array(F.lit(0))).when(in_major, others).otherwise(all_)
+    parts = placed.join(written(cuts, "cuts"), "key", "left").withColumn("own", F.coalesce(own, F.lit(0)))
+    blocks = parts.select("*", F.explode(met).alias("other")).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "h", "label", "start", "n", "sketch",
+    )
+
+    def make(ident, side, fps, *of_rows) -> pa.RecordBatch:
+        return neighbours(ident, side.astype(np.int64), fps.view(np.uint64), *of_rows, radius, least, width)
+
+    found = by_block(blocks, ["side", "fp", "h", "label", "start", "n", "sketch"], make, "u long, v long, last long")
+    pairs = found.groupBy("u", "v").agg(F.min("last").alias("last"))
+    pairs = pairs.withColumn("last", F.min("last").over(Window.partitionBy("u")))
+    return pairs.where(F.col("last").isNull() | (F.col("v") <= F.col("last")))
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
@@ -250,39 +372,25 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, least: float)
     return written(joined.mapInArrow(run, "u long, v long"), "verified")
 
 
-def unjoined(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """Those of pairs (u, v) that links (u, v), one for a node at most, do not join in one step."""
-    mine = links.select(F.col("u"), F.col("v").alias("of_u"))
-    other = links.select(F.col("u").alias("v"), F.col("v").alias("of_v"))
-    marked = pairs.join(mine, "u", "left").join(other, "v", "left")
-    return marked.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
-
-
 def linked(nodes: DataFrame, rows: DataFrame, radius: int = RADIUS, least: float = LEAST, width: int = WIDTH) -> DataFrame:
-    """(u, v) with v < u: verified links of nodes (h, fp, n, sketch, id, th) that join all their named links join."""
-    links, tested = None, None
-    asked = nodes.select("h", "fp", F.lit(True).alias("asks"))
+    """(u, v) with v < u: verified links of nodes (h, fp, n, sketch, id, th) that join all that links of candidates join."""
+    named = written(nearest_pairs(nodes, radius), "named")
+    near_by = written(nodes.join(named, "h", "left_semi"), "candidates")  # a small part, its size is known from here on
+    pairs = named.where("v is not null").select(F.col("h").alias("u"), "v")
+    waiting = named.where("more").select("h", F.lit(-1 << 63).alias("start"))
+    links = None
     while True:
-        pairs = written(named_pairs(asked, radius, width), "pairs")
-        new = pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti")
-        both = pairs.select(F.explode(F.array("u", "v")).alias("h")).distinct()
-        near_by = written(nodes.join(both, "h", "left_semi"), "candidates")  # a small part, its size is known from here on
-        likely = written(sifted(new, near_by, least), "likely")
-        same = verified(likely.groupBy("u").agg(F.min("v").alias("v")), near_by, rows, least)
-        rest = likely.join(likely.groupBy("u").agg(F.min("v").alias("v")), ["u", "v"], "left_anti")
-        rest = written(unjoined(rest, same), "rest")
-        if rest.limit(1).count():
-            same = same.unionByName(verified(rest, near_by, rows, least))
+        likely = written(sifted(pairs, near_by, least), "likely")
+        same = verified(likely, near_by, rows, least) if links is None or likely.limit(1).count() else likely
         links = same if links is None else links.unionByName(same)
-        waiting = pairs.where("more").select(F.col("u").alias("h")).distinct()
-        waiting = written(waiting.join(same.select(F.col("u").alias("h")), "h", "left_anti"), "waiting")
         if waiting.limit(1).count() == 0:
             return links
+        labels = components(links).select(F.col("node").alias("h"), F.col("root").alias("label"))
+        asked = near_by.select("h", "fp", "n", "sketch").join(labels, "h", "left").join(waiting, "h", "left")
+        asked = asked.select("h", "fp", "n", "sketch", *[F.coalesce(c, "h").alias(c) for c in ("label", "start")])
+        pairs = written(named_pairs(written(asked, "asked"), radius, width, least=least), "pairs")
+        waiting = pairs.where("last is not null").groupBy(F.col("u").alias("h")).agg((F.max("last") + 1).alias("start"))
         width *= WIDER
-        now = new.select("u", "v")
-        tested = now if tested is None else tested.unionByName(now)
-        again = waiting.select("h", F.lit(True).alias("asks"))
-        asked = near_by.select("h", "fp").join(again, "h", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
 
 
 def features(texts: list[str]) -> list:

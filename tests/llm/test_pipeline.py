@@ -107,3 +107,57 @@ def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame(rows, "doc_id int, text string")
     kept = [(r["doc_id"], r["text"] or "") for r in near_copies.keep_one(df).collect()]
     assert sorted(kept, key=str) == sorted([(1, text), (None, "lone row"), (3, "")], key=str)
+
+
+def test_a_link_beyond_the_named_ones_joins_its_group(spark):
+    base = [f"w{k}" for k in range(400)]
+    leaves = [" ".join(base[:k] + [f"new{k}{j}" for j in range(26)] + base[k + 26 :]) for k in range(0, 370, 30)]
+    signed = lambda text: int(np.uint64(near_copies.sequence_hash(text)).astype(np.int64))
+    salted = (" ".join([f"salt{k}", *base]) for k in range(2000))
+    centre = next(t for t in salted if signed(t) > max(map(signed, leaves)))  # it names the leaves, they do not name it
+    bands = lambda text: np.array([near_copies.majority(near_copies.shingle_hashes(text))], np.uint64).view(np.uint8)
+    leaves = [t for t in leaves if (bands(t) == bands(centre)).sum() >= 2]  # candidates
+    assert len(leaves) > near_copies.WIDTH + 3
+    rows = [(k, t) for k, t in enumerate([*leaves, centre])]
+    sets = [near_copies.shingles(t) for _, t in rows]
+    linked = {(a, b) for a in range(len(sets)) for b in range(a) if near_copies.similarity(sets[a], sets[b]) >= 0.8}
+    assert linked == {(len(leaves), b) for b in range(len(leaves))}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in near_copies.keep_one(df, radius=40).collect()] == [0]
+
+
+def test_cut_blocks_meet_all_their_candidates(spark):
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(-(1 << 62), 1 << 62, 12)
+    flips = rng.integers(0, 64, (600, 5))
+    fps = [int(seeds[k % 12]) ^ sum({1 << int(b) for b in flips[k] if b < 63}) for k in range(600)]
+    names = sorted(int(x) for x in rng.choice(1 << 40, 600, replace=False))
+    bands = [[f >> 8 * i & 255 for i in range(8)] for f in fps]
+    near = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 11 and sum(x == y for x, y in zip(bands[a], bands[b])) >= 2
+    pairs = {(names[a], names[b]) for a in range(600) for b in range(a) if near(a, b)}
+    nodes = spark.createDataFrame(list(zip(names, fps)), "h long, fp long")
+    first = {r["h"]: r for r in near_copies.nearest_pairs(nodes, 11, block=16).collect()}
+    assert {x for pair in pairs for x in pair} <= first.keys()
+    for u in names:
+        mine = {b for a, b in pairs if a == u}
+        found = {first[u]["v"]} - {None} if u in first else set()
+        assert found <= mine and (mine == found or first[u]["more"])
+    label = {x: names[k % 12] if k % 5 else x for k, x in enumerate(names)}
+    hashes = [rng.integers(0, 1 << 62, n, dtype=np.uint64) for n in (2, 40, 40, 90, 900)]
+    held = {x: (len(hashes[k % 5]), near_copies.sketch(hashes[k % 5]).tobytes()) for k, x in enumerate(names)}
+    fields = "h long, fp long, label long, start long, n long, sketch binary"
+    asked = spark.createDataFrame([(x, f, label[x], -(1 << 63), *held[x]) for x, f in zip(names, fps)], fields)
+    bound = lambda a, b: near_copies.least_difference(*[np.frombuffer(held[x][1], np.uint8) for x in (a, b)])
+    across = {(a, b) for a, b in pairs if label[a] != label[b] and near_copies.allowed(held[a][0], held[b][0], bound(a, b), 0.8)}
+    assert 100 < len(across) < 0.9 * len({(a, b) for a, b in pairs if label[a] != label[b]})
+    found, width = set(), 2
+    while True:
+        made = near_copies.named_pairs(asked, 11, width, block=16).collect()
+        assert not found & {(r["u"], r["v"]) for r in made}
+        found |= {(r["u"], r["v"]) for r in made}
+        start = {r["u"]: r["last"] + 1 for r in made if r["last"] is not None}
+        if not start:
+            break
+        rows = [(x, f, label[x], start.get(x, x), *held[x]) for x, f in zip(names, fps)]
+        asked, width = spark.createDataFrame(rows, fields), 16
+    assert found == across
