@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +39,14 @@ LENGTH = 2048
 OPEN = 1024
 SHARE = 1 << 24
 PORTION = 1 << 16
+GROUP = 1 << 21
 SEAM = re.compile(r"[ \n\t](?=[A-Za-z0-9])")
-CAPITALS = string.ascii_uppercase + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
-SIMPLER = str.maketrans("\n\t\r" + CAPITALS, "   " + CAPITALS.lower())  # as the vocabulary's own first steps do
 STOPS = string.punctuation.replace("'", "")
-LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")  # each such word is a word to the library
+SIMPLER = np.arange(256, dtype=np.uint8)  # as the vocabulary's own first steps do, on the bytes of ASCII
+SIMPLER[list(b"\n\t\r")] = ord(" ")
+SIMPLER[list(string.ascii_uppercase.encode())] = list(string.ascii_lowercase.encode())
+IS_WORD, IS_STOP = (np.isin(np.arange(256), list(x.encode())) for x in (string.ascii_lowercase + string.digits, STOPS))
+LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")  # each such word is a word to the library
 KEPT = 400_000
 SHORT = 48
 
@@ -59,10 +63,22 @@ def portions(text: str, size: int = PORTION) -> list[str]:
     return [*out, text[at:]]
 
 
+def simplified(text: str) -> bytes:
+    """The text in UTF-8 with lower-case ASCII, spaces for other ASCII white space, and a space before marks that follow a word.
+
+    Marks after a letter or digit are words of their own to the library, so the space changes no id.
+    """
+    raw = SIMPLER[np.frombuffer(text.encode("utf-8"), np.uint8)]
+    marks = np.flatnonzero(IS_WORD[raw[:-1]] & IS_STOP[raw[1:]]) + 1
+    return np.insert(raw, marks, ord(" ")).tobytes()
+
+
 class Encoder:
     """Ids of texts by a tokenizers definition whose tokens never span white space.
 
     Words between ASCII white space are encoded by the library once and kept in a bounded table.
+    A group of portions is split into words and put together again as Arrow columns, so that only
+    its distinct words pass through Python.
     """
 
     def __init__(self, definition: str):
@@ -75,46 +91,57 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, the end id included, as little-endian 32-bit integers."""
-        whole: list[list[bytes]] = [[] for _ in texts]
+        whole: list[list] = [[] for _ in texts]
         group, size = [], 0
         for k, text in enumerate(texts):
             for part in portions(text):
                 group.append((k, part))
                 size += len(part)
-                if size > 4 * PORTION:
+                if size > GROUP:
                     self.encode_group(group, whole)
                     group, size = [], 0
         self.encode_group(group, whole)
         return [b"".join([*parts, bytes(4)]) for parts in whole]
 
-    def encode_group(self, group: list[tuple[int, str]], whole: list[list[bytes]]) -> None:
+    def encode_group(self, group: list[tuple[int, str]], whole: list[list]) -> None:
         """Encode portions and add their ids to those of their texts."""
-        split = [part.translate(SIMPLER).split(" ") for _, part in group]
-        missing = set().union(*split).difference(self.known)
+        plain = pa.array([simplified(part) for _, part in group], pa.large_string())
+        split = pc.split_pattern(plain, pattern=" ")
+        coded = split.values.dictionary_encode()
+        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        words = pc.binary_join(listed, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")  # no word holds a space
+        missing = [w for w in words if w not in self.known]
         if len(self.known) > KEPT:  # what is not met again before the next change is forgotten
             self.known, self.older = {"": b""}, self.known
-            missing = set().union(*split).difference(self.known)
+            missing = words
         rare = self.learn(missing)
-        look = self.known.__getitem__
-        if rare:
-            look = {**{w: self.known[w] for words in split for w in words if w not in rare}, **rare}.__getitem__
-        for (k, _), words in zip(group, split):
-            whole[k].append(b"".join(map(look, words)))
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
+        known = self.known
+        ids_of = [rare[w] if w in rare else known[w] for w in words] if rare else [known[w] for w in words]
+        made = pa.array(ids_of, pa.large_binary())
+        _, ends, ids = made.take(coded.indices).buffers()
+        cuts = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()].tolist()
+        held = memoryview(ids) if ids else b""
+        for (k, _), at, to in zip(group, cuts, cuts[1:]):
+            whole[k].append(held[at:to])
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
         """Add words to the table; the ids of very long ones are returned instead."""
-        known, stems, rare, plain = self.known, {}, {}, []
+        known, older, stems, rare, plain, others = self.known, self.older, {}, {}, [], set()
         for word in words:
-            if word in self.older:
-                known[word] = self.older[word]
-                continue
-            stem = word.rstrip(STOPS)
-            if stem and stem != word and stem[-1].isalnum():  # marks after a letter or digit are words of their own
-                stems[word] = stem, word[len(stem) :]
-        needed = {part for pair in stems.values() for part in pair}.union(words).difference(known, stems)
-        for word in needed:
-            if word in self.older:
-                known[word] = self.older[word]
+            if word in older:
+                known[word] = older[word]
+            elif len(word) <= SHORT and LETTERS.fullmatch(word):
+                plain.append(word)
+            else:
+                stem = word.rstrip(STOPS)
+                if stem and stem != word and (LETTERS.fullmatch(stem[-1]) or stem[-1] in string.digits):
+                    stems[word] = stem, word[len(stem) :]  # marks after a letter or digit are words of their own
+                    others.update(stems[word])
+                else:
+                    others.add(word)
+        for word in others.difference(known, plain, stems):
+            if word in older:
+                known[word] = older[word]
             elif len(word) <= SHORT and LETTERS.fullmatch(word):
                 plain.append(word)
             else:
@@ -127,8 +154,8 @@ class Encoder:
 
     def learn_letters(self, words: list[str]) -> None:
         """Encode words of letters in one call; the library numbers the words that its tokens belong to."""
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
+        for at in range(0, len(words), 128):
+            some = words[at : at + 128]
             made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids, number = np.array(made.ids, dtype="<u4"), np.array(made.word_ids)
             cuts = np.searchsorted(number, np.arange(len(some) + 1))

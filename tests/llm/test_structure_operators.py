@@ -245,6 +245,26 @@ def test_packing_of_documents(spark):
     assert used <= 1.1 * sum(r["length"] for r in rows) / 2048 + 1
 
 
+def test_packing_encoder_passes_few_words_through_the_library():
+    from tokenizers import Tokenizer
+
+    with open(WORDS, encoding="utf-8") as file:
+        definition = file.read()
+    library = Tokenizer.from_str(definition)
+    rng = random.Random(11)
+    letters = "aAbBzZ \n\t\r'.,!-_09\u00df\u00c0\u00dc\u00e9\u0307\u0130\u0131\u03a3\u3000\x0b\x1c\u672c\u212bK#<|"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["\u0130,", "", " ", "x" * 90 + "." * 60 + " x", "One, two. (three) 'four's: " * 9]
+    encoder = best_fit_packing.Encoder(definition)
+    for some in (texts, texts[::-1]):
+        made = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(some)]
+        assert made == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in some]
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(500)]
+    seen = best_fit_packing.Encoder(definition)
+    seen.encode([" ".join(w + mark for w in words) for mark in ("", ",", ".", ");", "!")])
+    assert len(seen.known) <= 510  # marks make no new words of known ones
+
+
 def test_packing_edges(spark):
     texts = [None, "", " \n\t", "a", "a", "Don't STOP... now!?", "é é  x y ÀÉÎ İ ΑΣ <|endoftext|>", "x" * 5000, "lorem ipsum, dolor\r\n" * 4000]
     rows = [(None if k == 3 else k, t, "s", 1) for k, t in enumerate(texts)]
