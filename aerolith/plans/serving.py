@@ -13,7 +13,7 @@ from aerolith.functions import geo, rules
 from aerolith.functions.casting import coerce_numeric, round_half_up, round_once
 from aerolith.functions.codes import country_codes
 from aerolith.functions.text import region_of
-from aerolith.operators.joins import contains_counts, settled
+from aerolith.operators.joins import broadcast_if_small, contains_counts, lookup_union, settled
 from aerolith.operators.keyed import hashed_sample, latest_window, recent, top_k
 
 # Ring scales drawn around a quake.
@@ -180,7 +180,8 @@ def active_routes(
     One row per pair of airports. ``active_flights`` counts (route, flight) pairs;
     it is added up from the counts per airline code, so the pairs are never built.
     Those counts are settled first, so that routes without a match drop out early.
-    Codes are compared as written unless ``normalize``.
+    Codes are compared as written unless ``normalize``. This is for staged routes that
+    are stored; where they are yet to be joined, ``active_routes_of`` is far cheaper.
     """
     flying = flights.filter(~F.col("on_ground")).select(F.upper("callsign").alias("_callsign"))
     code = F.upper("airline_code") if normalize else F.col("airline_code")
@@ -214,6 +215,107 @@ def active_routes(
     return top_k(rows, [F.asc("origin_code"), F.asc("destination_code")], limit)
 
 
+def active_routes_of(
+    routes: DataFrame,
+    airlines: DataFrame,
+    airports: DataFrame,
+    flights: DataFrame,
+    limit: int | None = None,
+    normalize: bool = False,
+) -> DataFrame:
+    """:func:`active_routes` over ``stg_routes`` of the same tables, without the staged rows.
+
+    ``airlines`` and ``airports`` are staged, ``routes`` are not. The routes are added
+    up per pair of codes while they hold nothing else: a code's airline is its place in
+    the order of codes, so that the aggregate is over numbers. Names and positions are
+    picked once per code, as both ends and the airline are independent of each other,
+    and joined to the finished pairs. A shared code counts as often as it would fan out.
+    """
+    kept = routes.filter(F.col("src_airport").isNotNull() & F.col("dst_airport").isNotNull()).select(
+        F.col("airline").alias("airline_code"),
+        F.col("src_airport").alias("origin_code"),
+        F.col("dst_airport").alias("destination_code"),
+    )
+    carriers = _matched_carriers(kept, airlines, flights, normalize)
+    weights = broadcast_if_small(carriers.select("airline_code", "_place", "_weight"))
+    sums = kept.join(weights, "airline_code").groupBy("origin_code", "destination_code").agg(
+        F.min("_place").alias("_place"), F.sum("_weight").alias("_weight")
+    )
+    pairs = settled(sums, "route-pairs")
+    ends = _route_ends(pairs, airports)
+
+    rows = pairs.join(broadcast_if_small(carriers.select("_place", "airline_name")), "_place")
+    for end in ("origin", "destination"):
+        named = ends.select([F.col(c).alias(f"{end}_{c}") for c in ends.columns])
+        rows = rows.join(broadcast_if_small(named), f"{end}_code")
+    km = geo.haversine_km(
+        F.col("origin_lat"), F.col("origin_lon"), F.col("destination_lat"), F.col("destination_lon")
+    )
+    same = F.arrays_overlap("origin_continents", "destination_continents")
+    shown = rows.select(
+        "origin_code",
+        "origin_airport_name",
+        "origin_city",
+        F.col("origin_lat").alias("src_lat"),
+        F.col("origin_lon").alias("src_lon"),
+        "destination_code",
+        "destination_airport_name",
+        "destination_city",
+        F.col("destination_lat").alias("tgt_lat"),
+        F.col("destination_lon").alias("tgt_lon"),
+        round_once(km, 1).alias("distance_km"),
+        F.when(same, "domestic/regional").otherwise("international").alias("route_type"),
+        "airline_name",
+        (F.col("_weight") * F.col("origin_records") * F.col("destination_records")).alias("active_flights"),
+    )
+    return top_k(shown, [F.asc("origin_code"), F.asc("destination_code")], limit)
+
+
+def _matched_carriers(kept: DataFrame, airlines: DataFrame, flights: DataFrame, normalize: bool) -> DataFrame:
+    """Route codes seen in callsigns: place in the order of codes, first name, matches of all their airlines."""
+    flying = flights.filter(~F.col("on_ground")).select(F.upper("callsign").alias("_callsign"))
+    code = F.upper("airline_code") if normalize else F.col("airline_code")
+    codes = settled(kept.select("airline_code").distinct(), "route-codes").withColumn("_code", code)
+    seen = contains_counts(flying, "_callsign", codes, "_code")
+    named = (
+        lookup_union(airlines, ["iata_code", "icao_code"], "_airline")
+        .groupBy("_airline")
+        .agg(F.min(_null_last("airline_name")).alias("_first"), F.count(F.lit(1)).alias("_records"))
+    )
+    matched = codes.join(seen, "_code").withColumn("_airline", F.upper("airline_code")).join(named, "_airline", "left")
+    weight = F.col("matches") * F.coalesce("_records", F.lit(1))
+    # the ids rise with the sorted partitions, and stay as they are written
+    ordered = matched.orderBy("airline_code").select(
+        "airline_code",
+        F.col("_first.v").alias("airline_name"),
+        weight.alias("_weight"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    return settled(ordered, "route-carriers")
+
+
+def _route_ends(pairs: DataFrame, airports: DataFrame) -> DataFrame:
+    """Located airports of the pairs: the first record per code, the number of records, continents of equal firsts."""
+    used = pairs.select(F.explode(F.array("origin_code", "destination_code")).alias("code")).distinct()
+    places = lookup_union(airports, ["iata_code", "icao_code"], "code").dropna(subset=["latitude", "longitude"])
+    records = (
+        places.join(settled(used, "route-ends"), "code", "left_semi")
+        .groupBy("code", "airport_name", "city", "latitude", "longitude")
+        .agg(F.collect_set("continent").alias("continents"), F.count(F.lit(1)).alias("_n"))
+    )
+    first = F.struct(_null_last("airport_name"), "city", "latitude", "longitude", "continents")
+    ends = records.groupBy("code").agg(F.min(first).alias("_r"), F.sum("_n").alias("records")).select(
+        "code",
+        F.col("_r.airport_name.v").alias("airport_name"),
+        F.col("_r.city").alias("city"),
+        F.col("_r.latitude").alias("lat"),
+        F.col("_r.longitude").alias("lon"),
+        F.col("_r.continents").alias("continents"),
+        "records",
+    )
+    return settled(ends, "route-airports")
+
+
 def _null_last(column: str) -> Column:
     value = F.col(column)
     return F.struct(value.isNull().alias("missing"), value.alias("v")).alias(column)

@@ -114,7 +114,9 @@ join fx_flights f on upper(f.callsign) like '%' || r.airline || '%' and f.on_gro
 )
 @tables
 def active_routes(t):
-    return serving.active_routes(t.staged("routes"), t.fx("flights"), limit=None)
+    return serving.active_routes_of(
+        t.fx("routes"), t.staged("airlines"), t.staged("airports"), t.fx("flights"), limit=None
+    )
 
 
 @query("q08_airports", "select airport_name, iata_code, city, country, latitude as lat, longitude as lon from v_airports")
